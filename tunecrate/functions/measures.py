@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,19 @@ def song_rating(dur: Column, idf: Column) -> Column:
     return F.log10(dur / F.lit(0.01) + F.lit(1.0)) * idf
 
 
+def epoch_seconds(df: DataFrame, ts: str) -> Column:
+    """Seconds since 1970 as double. Zone-less timestamps are read as UTC in any session zone."""
+    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
+        since = f"CAST(`{ts}` - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS INTERVAL SECOND)"
+        return F.expr(f"CAST(CAST({since} AS DECIMAL(20,6)) AS DOUBLE)")
+    return F.unix_micros(ts) / 1e6
+
+
+def moment(df: DataFrame, ts: str, text: str) -> Column:
+    """A literal of the column's own timestamp type, so that comparisons reach the scan."""
+    return F.lit(text).cast(df.schema[ts].dataType)
+
+
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tunecrate.functions import measures
+
 
 def focus_sessions(
     timeline: DataFrame, gap: float, user: str = "user_id", ts: str = "ts", bucket_seconds: int = 86400
@@ -17,7 +19,7 @@ def focus_sessions(
     bounded by the time span, not by the events. A single event is a session of length 0.
     """
     events = timeline.select(
-        user, (F.unix_micros(ts) / 1e6).alias("t")
+        user, measures.epoch_seconds(timeline, ts).alias("t")
     ).withColumn("_b", F.floor(F.col("t") / bucket_seconds))
     local_order = Window.partitionBy(user, "_b").orderBy("t")
     local = (

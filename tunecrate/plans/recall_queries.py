@@ -80,7 +80,7 @@ def _excluded(v: View) -> DataFrame:
 
 
 def _special(v: View) -> DataFrame:
-    return recall.pool_recall(v.recent_plays, v.pool, 100, 80)
+    return recall.pool_recall(v.recent_plays, v.shared_pool, 100, 80)
 
 
 def _theme(v: View) -> DataFrame:
@@ -160,7 +160,7 @@ def rating(v: View) -> DataFrame:
 )
 def neighbour_table(v: View) -> DataFrame:
     trained = v.plays.where(F.col("dur") >= 4)
-    return recall.neighbour_table(v.pool, trained, 20, v.pool_same("p_brand"), 5)
+    return recall.neighbour_table(v.shared_pool, trained, 20, v.pool_same("p_brand"), 5)
 
 
 @query(
@@ -180,7 +180,7 @@ def favourite_recall(v: View) -> DataFrame:
      ("by_item", _favourites("plays", "neighbours", 30, 5000, "dur >= 2.0", "dur DESC"))]),
 )
 def singer_recall(v: View) -> DataFrame:
-    return recall.singer_recall(v.plays, v.pool_same("p_brand"), recall.neighbour_table(v.pool, v.plays))
+    return recall.singer_recall(v.plays, v.pool_same("p_brand"), recall.neighbour_table(v.shared_pool, v.plays))
 
 
 @query(
@@ -283,7 +283,7 @@ def _interleave(distinct: bool) -> str:
     with_views(_POOLS, _interleave(True), [_SPECIAL, ("behaviour", _pool_recall("recent_plays", "pool", 50, 200))]),
 )
 def interleave(v: View) -> DataFrame:
-    return lists.interleave(_special(v), recall.pool_recall(v.recent_plays, v.pool, 50, 200), distinct=True)
+    return lists.interleave(_special(v), recall.pool_recall(v.recent_plays, v.shared_pool, 50, 200), distinct=True)
 
 
 @query(

@@ -10,14 +10,28 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunecrate.functions import ids, measures
 from tunecrate.operators.factors import item_idf
+from tunecrate.operators.filters import id_mapping
 from tunecrate.operators.ranking_windows import running_total, top_n
+from tunecrate.session import cut_lineage
 
 HISTORY_END = "1998-01-01"
 RECS_END = "1999-01-01"
 YESTERDAY_START = "2001-06-01"
 CONTEXT = 5  # playlist positions that count as neighbours
 
+# Client source paths of the play log, one per line number 1..7.
+PATHS = [
+    "/歌单/推荐",
+    "首页/个性化推荐/歌单",
+    "/电台/有声电台/推荐/热门",
+    "搜索/手动输入/歌单",
+    "/播放页/关联推荐",
+    "收藏/私人FM",
+    "/本地音乐",
+]
+
 
 class View:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -42,16 +56,19 @@ class View:
             (F.sum("l_quantity") / 10).alias("dur")
         )
 
+    def _day(self, text: str):
+        return measures.moment(self.order_lines, "o_orderdate", text)
+
     @cached_property
     def recent_plays(self) -> DataFrame:
-        return self._plays(self.order_lines.where(F.col("o_orderdate") >= F.lit(RECS_END).cast("timestamp")))
+        return self._plays(self.order_lines.where(F.col("o_orderdate") >= self._day(RECS_END)))
 
     def _between(self, first: str | None, last: str | None) -> DataFrame:
         rows = self.order_lines
         if first:
-            rows = rows.where(F.col("o_orderdate") >= F.lit(first).cast("timestamp"))
+            rows = rows.where(F.col("o_orderdate") >= self._day(first))
         if last:
-            rows = rows.where(F.col("o_orderdate") < F.lit(last).cast("timestamp"))
+            rows = rows.where(F.col("o_orderdate") < self._day(last))
         return rows.select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).distinct()
 
     @cached_property
@@ -103,12 +120,17 @@ class View:
         )
         return top_n(scored, ["src"], [F.desc("sim"), F.col("dst")], 200, "rank")
 
+    @cached_property
+    def shared_pool(self) -> DataFrame:
+        """The pool written once, for queries that read it several times."""
+        return cut_lineage(self.pool)
+
     def pool_same(self, column: str) -> DataFrame:
         """Pool restricted to pairs that share an item attribute, ranked anew."""
         part = self.table("part").select("p_partkey", column)
         a = part.select(F.col("p_partkey").alias("src"), F.col(column).alias("_a"))
         b = part.select(F.col("p_partkey").alias("dst"), F.col(column).alias("_b"))
-        same = self.pool.drop("rank").join(a, "src").join(b, "dst").where(F.col("_a") == F.col("_b"))
+        same = self.shared_pool.drop("rank").join(a, "src").join(b, "dst").where(F.col("_a") == F.col("_b"))
         return top_n(same.select("src", "dst", "sim"), ["src"], [F.desc("sim"), F.col("dst")], 200, "rank")
 
     @cached_property
@@ -146,12 +168,47 @@ class View:
     @cached_property
     def events(self) -> DataFrame:
         """Client log: user, action, k (content key), value, ts, epoch seconds."""
-        return self.table("events").select(
+        raw = self.table("events")
+        return raw.select(
             "event_id", "user_id", "event_type", "value", "ts",
             F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
-            (F.unix_micros("ts") / 1e6).alias("t"),
+            measures.epoch_seconds(raw, "ts").alias("t"),
         )
 
+    @cached_property
+    def log(self) -> DataFrame:
+        """Play log in client form: one row per play, playlists under local or versioned global ids."""
+        line = F.col("l_linenumber")
+        path = F.element_at(F.array(*[F.lit(p) for p in PATHS]), line)
+        versioned = F.concat_ws("_", F.lit("collection_2"), F.col("l_partkey"), F.col("l_suppkey"))
+        special = F.when(line % 2 == 0, F.col("l_partkey").cast("string")).otherwise(versioned)
+        return self.order_lines.select(
+            F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("uid"),
+            F.col("l_partkey").alias("item_id"),
+            F.col("l_suppkey").alias("supp"),
+            line.alias("line"),
+            ids.canonical_collection(special).alias("playlist"),
+            path.alias("path"),
+            F.concat(F.lit("93"), (line % 3).cast("string"), F.lit("1")).alias("version"),
+            F.col("l_quantity").alias("qty"),
+            F.col("l_returnflag").alias("flag"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        )
+
+    @cached_property
+    def playlists(self) -> DataFrame:
+        """(local_id, global_id, song_count, size_tag): playlist dimension."""
+        key = F.col("p_partkey").cast("string")
+        count = F.col("p_size") * 3
+        return self.table("part").select(
+            key.alias("local_id"), F.concat(F.lit("collection_2_"), key, F.lit("_0")).alias("global_id"),
+            count.alias("song_count"), measures.size_label(count).alias("size_tag"),
+        )
+
+    @cached_property
+    def mapping(self) -> DataFrame:
+        return id_mapping(self.playlists, "local_id", "global_id", "size_tag")
+
 
 _DAY = "o_orderdate {op} TIMESTAMP '{day} 00:00:00'"
 
@@ -170,6 +227,12 @@ def _same(column: str) -> str:
     )
 
 
+_PATH_LIST = "[" + ", ".join(f"'{p}'" for p in PATHS) + "]"
+_SIZE = (
+    "CASE WHEN p_size * 3 < 30 THEN '(0,30)' WHEN p_size * 3 BETWEEN 30 AND 50 THEN '[30,50]' "
+    "WHEN p_size * 3 BETWEEN 51 AND 100 THEN '[51,100]' ELSE '>100' END"
+)
+
 # name -> (views it needs, SQL)
 CTES: dict[str, tuple[list[str], str]] = {
     "plays": ([], "SELECT o_custkey AS user_id, l_partkey AS item_id, SUM(l_quantity) / 10 AS dur "
@@ -200,6 +263,14 @@ CTES: dict[str, tuple[list[str], str]] = {
     "vec": ([], "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS features, label FROM embeddings"),
     "item_vec": ([], "SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings"),
     "user_vec": ([], "SELECT vec_id AS user_id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings"),
+    "log": ([], "SELECT lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS uid, l_partkey AS item_id, l_suppkey AS supp, l_linenumber AS line, "
+                "CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_partkey AS VARCHAR) ELSE 'collection_2_' || l_partkey || '_0' END AS playlist, "
+                f"({_PATH_LIST})[l_linenumber] AS path, '93' || (l_linenumber % 3) || '1' AS version, l_quantity AS qty, l_returnflag AS flag, "
+                "strftime(o_orderdate, '%Y-%m-%d') AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
+    "playlists": ([], "SELECT CAST(p_partkey AS VARCHAR) AS local_id, 'collection_2_' || p_partkey || '_0' AS global_id, "
+                      f"p_size * 3 AS song_count, {_SIZE} AS size_tag FROM part"),
+    "mapping": (["playlists"], "SELECT local_id AS any_id, global_id, size_tag FROM playlists UNION "
+                               "SELECT global_id, global_id, size_tag FROM playlists"),
     "ev": ([], r"SELECT event_id, user_id, event_type, value, ts, "
                r"CAST(regexp_extract(props, '(\d+)', 1) AS INT) AS k, epoch_us(ts) / 1e6 AS t FROM events"),
 }
