@@ -465,9 +465,9 @@ def flag_rate(v: View) -> DataFrame:
         ).distinct()
 
     played = v.events.where(F.col("event_type") == "click").select(
-        "user_id", F.upper(F.concat(F.lit("Hash "), F.col("k").cast("string"))).alias("_raw"),
+        "user_id", F.upper(F.concat(F.lit("Hash"), F.col("k").cast("string"))).alias("key"),
         (F.col("k") % 3).alias("wm"), F.when(F.col("value") > 50, "done").otherwise("cut").alias("fs"),
-    ).withColumn("key", F.regexp_replace("_raw", " ", "")).drop("_raw")
+    )
     flags = (
         played.join(seen("view", "HASH", "lyric"), ["user_id", "key"], "left")
         .join(seen("purchase", "hash", "fav"), ["user_id", "key"], "left")
