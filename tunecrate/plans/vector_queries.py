@@ -260,12 +260,12 @@ def _terms(v: View) -> DataFrame:
 
 @query("tfidf", with_views([], "SELECT doc_id, term, df, ROUND(weight, 6) AS weight FROM weighted", _TERMS))
 def tfidf(v: View) -> DataFrame:
-    return pair_similarity.tfidf(_terms(v)).withColumn("weight", F.round("weight", 6))
+    return pair_similarity.tfidf(pair_similarity.term_counts(_terms(v))).withColumn("weight", F.round("weight", 6))
 
 
 @query(
     "tfidf_cosine",
-    with_views([], "SELECT a, b, ROUND(cos, 6) AS cos FROM (SELECT x.doc_id AS a, y.doc_id AS b, SUM(x.w * y.w) AS cos FROM unit x JOIN unit y "
+    with_views([], "SELECT a, b, ROUND(cos, 9) AS cos FROM (SELECT x.doc_id AS a, y.doc_id AS b, SUM(x.w * y.w) AS cos FROM unit x JOIN unit y "
     "ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2) WHERE cos > 0.5 "
     "UNION ALL SELECT first_id, doc_id, 1.0::DOUBLE FROM groups WHERE doc_id <> first_id",
     [*_TERMS, ("bags", "SELECT doc_id, string_agg(term || ':' || cnt, ',' ORDER BY term) AS body FROM counts GROUP BY 1"),
@@ -274,7 +274,7 @@ def tfidf(v: View) -> DataFrame:
       "WHERE weight > 0 AND doc_id IN (SELECT doc_id FROM groups WHERE doc_id = first_id)")]),
 )
 def tfidf_cosine(v: View) -> DataFrame:
-    return pair_similarity.tfidf_cosine(_terms(v), 0.5).withColumn("cos", F.round("cos", 6))
+    return pair_similarity.tfidf_cosine(_terms(v), 0.5).withColumn("cos", F.round("cos", 9))
 
 
 # --- evaluation ------------------------------------------------------------------------
