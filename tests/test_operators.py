@@ -70,8 +70,8 @@ def test_capped_top_n_equals_the_walk(spark):
 
 def test_rank_cutoff_keeps_ties(spark):
     df = frame(spark, [(1, 5.0), (2, 5.0), (3, 4.0), (4, 4.0), (5, 1.0)], "i int, s double")
-    assert sorted(r["i"] for r in rw.rank_cutoff(df, "s", 3).collect()) == [1, 2, 3, 4]
-    assert rw.rank_cutoff(df, "s", 50).count() == 5
+    assert sorted(r["i"] for r in rw.rank_cutoff(df, "i", "s", 3).collect()) == [1, 2, 3, 4]
+    assert rw.rank_cutoff(df, "i", "s", 50).count() == 5
 
 
 # --- functions and filters ---------------------------------------------------------------
@@ -293,7 +293,9 @@ def test_implicit_als_lowers_the_loss(spark):
     assert loss(5) < loss(1)
 
 
-def test_cf_recommend_equals_the_greedy_walk(spark):
+@pytest.mark.parametrize("block", [20000, 9])
+def test_cf_recommend_equals_the_greedy_walk(spark, monkeypatch, block):
+    monkeypatch.setattr(factors, "HOT_BLOCK", block)
     rnd = np.random.default_rng(4)
     uf, itf = rnd.normal(size=(6, 3)), rnd.normal(size=(50, 3))
     singer = {i: f"s{i % 5}" for i in range(40)}

@@ -17,12 +17,16 @@ def song_rating(dur: Column, idf: Column) -> Column:
     return F.log10(dur / F.lit(0.01) + F.lit(1.0)) * idf
 
 
-def epoch_seconds(df: DataFrame, ts: str) -> Column:
-    """Seconds since 1970 as double. Zone-less timestamps are read as UTC in any session zone."""
+def epoch_micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970 as bigint. Zone-less timestamps are read as UTC in any session zone."""
     if df.schema[ts].dataType.typeName() == "timestamp_ntz":
         since = f"CAST(`{ts}` - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS INTERVAL SECOND)"
-        return F.expr(f"CAST(CAST({since} AS DECIMAL(20,6)) AS DOUBLE)")
-    return F.unix_micros(ts) / 1e6
+        return F.expr(f"CAST(CAST({since} AS DECIMAL(20,6)) * 1000000 AS BIGINT)")
+    return F.unix_micros(ts)
+
+
+def epoch_seconds(df: DataFrame, ts: str) -> Column:
+    return epoch_micros(df, ts) / 1e6
 
 
 def moment(df: DataFrame, ts: str, text: str) -> Column:

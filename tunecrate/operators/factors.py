@@ -19,7 +19,8 @@ from tunecrate.session import cut_lineage, ensure_checkpoint_dir
 
 ROWS_PER_PART = 4096
 MAX_PARTS = 64
-MAX_BROADCAST_BYTES = 256 * 2**20
+HOT_BLOCK = 20000
+USER_BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -136,9 +137,9 @@ def _collect_gram(factors: DataFrame) -> np.ndarray:
 def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: float) -> DataFrame:
     """One regularised solve per user against fixed item factors.
 
-    (Y'Y + Y'(C - I)Y + reg * n * I) x = Y'C 1 with c = 1 + alpha * rating. A user's rows are
-    reduced to partial sums per part of about ``ROWS_PER_PART`` rows, so a user with very
-    many plays is spread over tasks; the solve sees at most ``MAX_PARTS`` partial sums.
+    (Y'Y + Y'(C - I)Y + reg * n * I) x = Y'C 1 with c = 1 + alpha * rating. A user with more
+    than ``ROWS_PER_PART`` rows is reduced to partial sums over parts of its rows, on many
+    tasks; the last step sees at most ``MAX_PARTS`` partial sums.
     """
     gram = _collect_gram(factors)
     rank = gram.shape[0]
@@ -146,38 +147,42 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
     user_type = ratings.schema[USER].dataType.simpleString()
 
     known = ratings.join(factors, ITEM).select(USER, ITEM, "rating", "factor")
-    parts = (
+    busy = (
         ratings.groupBy(USER)
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > ROWS_PER_PART)
         .select(USER, F.least(F.ceil(F.col("n") / ROWS_PER_PART), F.lit(MAX_PARTS)).alias("parts"))
     )
-    split = known.join(parts, USER, "left").withColumn(
-        "part", F.pmod(F.xxhash64(ITEM), F.coalesce("parts", F.lit(1)))
-    )
 
-    def accumulate(pdf: pd.DataFrame) -> pd.DataFrame:
+    def sums(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         y = np.stack(pdf["factor"].to_numpy())
         extra = alpha * pdf["rating"].to_numpy()
-        lhs = (y * extra[:, None]).T @ y
-        rhs = y.T @ (1.0 + extra)
-        return pd.DataFrame(
-            {USER: [pdf[USER].iloc[0]], "n": [len(pdf)], "lhs": [lhs[upper]], "rhs": [rhs]}
-        )
+        return (y * extra[:, None]).T @ y, y.T @ (1.0 + extra)
+
+    def solution(user, n: int, lhs: np.ndarray, rhs: np.ndarray) -> pd.DataFrame:
+        x = np.linalg.solve(gram + lhs + reg * n * np.eye(rank), rhs)
+        return pd.DataFrame({USER: [user], "factor": [x]})
+
+    def solve_whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        return solution(pdf[USER].iloc[0], len(pdf), *sums(pdf))
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = pdf["n"].sum()
+    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
+        lhs, rhs = sums(pdf)
+        return pd.DataFrame({USER: [pdf[USER].iloc[0]], "n": [len(pdf)], "lhs": [lhs[upper]], "rhs": [rhs]})
+
+    def solve_parts(pdf: pd.DataFrame) -> pd.DataFrame:
         lhs = np.zeros((rank, rank))
         lhs[upper] = np.sum(np.stack(pdf["lhs"].to_numpy()), axis=0)
         lhs = lhs + np.triu(lhs, 1).T
-        rhs = np.sum(np.stack(pdf["rhs"].to_numpy()), axis=0)
-        x = np.linalg.solve(gram + lhs + reg * n * np.eye(rank), rhs)
-        return pd.DataFrame({USER: [pdf[USER].iloc[0]], "factor": [x]})
+        return solution(pdf[USER].iloc[0], int(pdf["n"].sum()), lhs, np.sum(np.stack(pdf["rhs"].to_numpy()), axis=0))
 
-    partial = split.groupBy(USER, "part").applyInPandas(
-        accumulate, f"{USER} {user_type}, n bigint, lhs array<double>, rhs array<double>"
+    solved = f"{USER} {user_type}, factor array<double>"
+    ordinary = known.join(busy, USER, "left_anti").groupBy(USER).applyInPandas(solve_whole, solved)
+    split = known.join(busy, USER).withColumn("part", F.pmod(F.xxhash64(ITEM), F.col("parts")))
+    pieces = split.select(USER, "part", ITEM, "rating", "factor").groupBy(USER, "part").applyInPandas(
+        partial, f"{USER} {user_type}, n bigint, lhs array<double>, rhs array<double>"
     )
-    return partial.groupBy(USER).applyInPandas(solve, f"{USER} {user_type}, factor array<double>")
+    return ordinary.unionByName(pieces.groupBy(USER).applyInPandas(solve_parts, solved))
 
 
 def als_fold_in(
@@ -191,57 +196,69 @@ def als_fold_in(
 def hot_by_norm(item_factors: DataFrame, n: int = 50000) -> DataFrame:
     """Items whose squared factor norm reaches the ``n``-th largest, ties kept."""
     with_norm = item_factors.withColumn("sq_norm", F.round(vectors.sq_norm(F.col("factor")), 9))
-    return rank_cutoff(with_norm, "sq_norm", n)
+    return rank_cutoff(with_norm, ITEM, "sq_norm", n)
 
 
 def _hot_lists(
-    users: DataFrame, hot: DataFrame, excluded: DataFrame, singers: DataFrame, cap: int
+    users: DataFrame, hot: DataFrame, excluded: DataFrame, singers: DataFrame, cap: int, length: int
 ) -> DataFrame:
-    """Ranked lists from the hot pool for users with few candidates.
+    """Ranked lists from the hot pool for users with few candidates. users: (user_id, factor, length).
 
-    The hot pool has a configured size, so its factor matrix is sent to the tasks (checked
-    against ``MAX_BROADCAST_BYTES``); users stream past it. users: (user_id, factor, length).
+    Users and hot items meet in blocks of bounded size, each one matrix product; ties at the
+    norm cut may make the hot pool larger than planned and only add blocks. A block returns
+    what can still be listed: allowed items, the best ``cap`` per singer, and with a single
+    block no more than ``length``.
     """
-    rows = hot.join(singers.select(ITEM, "singer"), ITEM, "left").select(
-        ITEM, F.coalesce("singer", F.lit("Unknown")).alias("singer"), "factor"
-    ).orderBy(ITEM).toPandas()
-    if not len(rows):
-        return users.select(USER, F.lit(None).cast(hot.schema[ITEM].dataType).alias(ITEM), F.lit(0.0).alias("score"),
-                            F.lit(0).cast("bigint").alias("rank")).limit(0)
-    matrix = np.stack(rows["factor"].to_numpy())
-    if matrix.nbytes > MAX_BROADCAST_BYTES:
-        raise ValueError("hot pool too large to ship to tasks; lower its size")
-    item_ids, singer_codes = rows[ITEM].to_numpy(), pd.factorize(rows["singer"])[0]
-    place = {v: k for k, v in enumerate(item_ids)}
+    hot = cut_lineage(
+        hot.join(singers.select(ITEM, "singer"), ITEM, "left").select(
+            ITEM, F.coalesce("singer", F.lit("Unknown")).alias("singer"), "factor"
+        )
+    )
+    users = cut_lineage(users.select(USER, "factor"))
+    hot_blocks = max(1, -(-hot.count() // HOT_BLOCK))
+    user_blocks = max(1, -(-users.count() // USER_BLOCK))
     user_type, item_type = (users.schema[USER].dataType.simpleString(), hot.schema[ITEM].dataType.simpleString())
 
+    placed = hot.withColumn("hb", F.pmod(F.xxhash64(ITEM), F.lit(hot_blocks)))
     barred = (
-        excluded.join(hot.select(ITEM), ITEM, "left_semi")
-        .distinct()
-        .groupBy(USER)
-        .agg(F.collect_list(ITEM).alias("barred"))  # at most the hot pool
+        excluded.join(placed.select(ITEM, "hb"), ITEM)
+        .select(USER, "hb", ITEM).distinct()
+        .groupBy(USER, "hb").agg(F.collect_list(ITEM).alias("barred"))  # at most one hot block
+    )
+    left = (
+        users.withColumn("hb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(hot_blocks - 1).cast("bigint"))))
+        .join(barred, [USER, "hb"], "left")
+        .withColumn("ub", F.pmod(F.xxhash64(USER), F.lit(user_blocks)))
+    )
+    right = placed.withColumn(
+        "ub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(user_blocks - 1).cast("bigint")))
     )
 
-    def rank_users(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out: dict[str, list] = {USER: [], ITEM: [], "score": [], "rank": []}
-            for user, factor, length, gone in zip(pdf[USER], pdf["factor"], pdf["length"], pdf["barred"]):
+    def rank_block(u: pd.DataFrame, h: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, list] = {USER: [], ITEM: [], "singer": [], "score": []}
+        if len(u) and len(h):
+            h = h.sort_values(ITEM, kind="stable")
+            names, items = h["singer"].to_numpy(), h[ITEM].to_numpy()
+            codes, matrix = pd.factorize(names)[0], np.stack(h["factor"].to_numpy())
+            for user, factor, gone in zip(u[USER], u["factor"], u["barred"]):
                 score = np.round(matrix @ np.asarray(factor), 9)
                 order = np.argsort(-score, kind="stable")
-                allowed = np.ones(len(score), dtype=bool)
                 if gone is not None:
-                    allowed[[place[g] for g in gone]] = False
-                order = order[allowed[order]]
-                seen = pd.Series(singer_codes[order])
-                order = order[(seen.groupby(seen).cumcount() < cap).to_numpy()][:length]
+                    order = order[~np.isin(items[order], gone)]
+                singer = pd.Series(codes[order])
+                order = order[(singer.groupby(singer).cumcount() < cap).to_numpy()]
+                if hot_blocks == 1:
+                    order = order[:length]
                 out[USER] += [user] * len(order)
-                out[ITEM] += list(item_ids[order])
+                out[ITEM] += list(items[order])
+                out["singer"] += list(names[order])
                 out["score"] += list(score[order])
-                out["rank"] += list(range(1, len(order) + 1))
-            yield pd.DataFrame(out)
+        return pd.DataFrame(out)
 
-    return users.join(barred, USER, "left").select(USER, "factor", "length", "barred").mapInPandas(
-        rank_users, f"{USER} {user_type}, {ITEM} {item_type}, score double, rank bigint"
+    return (
+        left.select("hb", "ub", USER, "factor", "barred").groupBy("hb", "ub")
+        .cogroup(right.select("hb", "ub", ITEM, "singer", "factor").groupBy("hb", "ub"))
+        .applyInPandas(rank_block, f"{USER} {user_type}, {ITEM} {item_type}, singer string, score double")
     )
 
 
@@ -267,32 +284,37 @@ def cf_recommend(
     one. Users with a profile (tag 1) get ``length + extra`` entries, others (tag 0)
     ``length``.
     """
-    usable_items = good_bad_filter(item_factors, good, bad)
+    usable_items = cut_lineage(good_bad_filter(item_factors, good, bad))
     tagged = user_factors.join(
         profiles.select(USER).distinct().withColumn("tag", F.lit(1)), USER, "left"
     ).withColumn("tag", F.coalesce("tag", F.lit(0)))
-    tagged = tagged.withColumn("length", F.col("tag") * extra + length)
+    longest = length + extra
 
-    usable = without(candidates.select(USER, ITEM).distinct(), excluded).join(
-        usable_items.select(ITEM), ITEM, "left_semi"
+    usable = cut_lineage(
+        without(candidates.select(USER, ITEM).distinct(), excluded).join(
+            usable_items.select(ITEM), ITEM, "left_semi"
+        )
     )
     rich = usable.groupBy(USER).agg(F.count("*").alias("n")).where(F.col("n") > min_candidates).select(USER)
 
     by_candidates = (
         usable.join(rich, USER, "left_semi")
         .join(usable_items, ITEM)
-        .join(tagged.withColumnRenamed("factor", "user_factor"), USER)
+        .join(user_factors.select(USER, F.col("factor").alias("user_factor")), USER)
         .withColumn("score", F.round(vectors.dot(F.col("factor"), F.col("user_factor")), 9))
         .join(singers.select(ITEM, "singer"), ITEM, "left")
-        .select(USER, ITEM, "score", "length", F.coalesce("singer", F.lit("Unknown")).alias("singer"))
+        .select(USER, ITEM, F.coalesce("singer", F.lit("Unknown")).alias("singer"), "score")
     )
+    poor = user_factors.join(rich, USER, "left_anti")
+    by_hot = _hot_lists(poor, hot_by_norm(usable_items, hot_n), excluded, singers, per_singer, longest)
     ranked = capped_top_n(
-        by_candidates, [USER], "singer", [F.desc("score"), F.col(ITEM)], per_singer, length + extra
-    ).where(F.col("rank") <= F.col("length"))
-    poor = tagged.join(rich, USER, "left_anti").select(USER, "factor", "length")
-    from_hot = _hot_lists(poor, hot_by_norm(usable_items, hot_n), excluded, singers, per_singer)
-    lists = ranked.select(USER, ITEM, "score", "rank").unionByName(from_hot)
-    return lists.join(tagged.select(USER, "tag"), USER)
+        by_candidates.unionByName(by_hot), [USER], "singer", [F.desc("score"), F.col(ITEM)], per_singer, longest
+    )
+    return (
+        ranked.join(tagged.select(USER, "tag"), USER)
+        .where(F.col("rank") <= F.col("tag") * extra + length)
+        .select(USER, ITEM, "score", "rank", "tag")
+    )
 
 
 def vector_resort(lists: DataFrame, user_vectors: DataFrame, item_vectors: DataFrame) -> DataFrame:

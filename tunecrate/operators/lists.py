@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tunecrate.functions import ids
 from tunecrate.operators.ranking_windows import numbered, top_n
+from tunecrate.session import cut_lineage
 
 USER, ITEM, POS = "user_id", "item_id", "pos"
 
@@ -38,9 +39,19 @@ def _stack(pools: Sequence[DataFrame]) -> DataFrame:
 
 
 def first_seen(df: DataFrame, *order: str) -> DataFrame:
-    """Order-preserving distinct: one row per (user, item) with its smallest order key."""
-    return df.groupBy(USER, ITEM).agg(F.min(F.struct(*order)).alias("_first")).select(
-        USER, ITEM, *[F.col(f"_first.{c}").alias(c) for c in order]
+    """Order-preserving distinct: one row per (user, item) with its smallest order key.
+
+    One or two non-negative integer order columns (the second below 2^40) are packed into
+    one bigint, so the minimum stays a hash aggregation with map-side combine.
+    """
+    packed = F.col(order[0]).cast("bigint")
+    if len(order) == 2:
+        packed = F.shiftleft(packed, 40).bitwiseOR(F.col(order[1]).cast("bigint"))
+    firsts = df.groupBy(USER, ITEM).agg(F.min(packed).alias("_first"))
+    if len(order) == 1:
+        return firsts.withColumnRenamed("_first", order[0])
+    return firsts.select(
+        USER, ITEM, F.shiftright("_first", 40).alias(order[0]), F.col("_first").bitwiseAND(F.lit(2**40 - 1)).alias(order[1])
     )
 
 
@@ -112,8 +123,9 @@ def random_mix(
     r-th entry from the end; offers past the end of a list are skipped. Only users with an
     exploration list take part.
     """
+    explore = cut_lineage(explore.select(USER, ITEM, POS))
     users = explore.select(USER).distinct()
-    listed = lists.join(users, USER, "left_semi")
+    listed = cut_lineage(lists.join(users, USER, "left_semi"))
     length = listed.groupBy(USER).agg(F.max(POS).alias("_len"))
     rounds = users.select(USER, F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("round"))
     offers = rounds.select(
@@ -147,6 +159,7 @@ def fresh_picks(
 
 def tail_replace(lists: DataFrame, picks: DataFrame) -> DataFrame:
     """Overwrite the last slots with picks (pick 1 last, pick 2 before it) unless already listed."""
+    lists = cut_lineage(lists.select(USER, ITEM, POS))
     length = lists.groupBy(USER).agg(F.max(POS).alias("_len"))
     new = (
         without(picks, lists)

@@ -19,10 +19,11 @@ def top_n(
     """First ``n`` rows per key in a total order, numbered from 1.
 
     Small ``n``: each map task keeps at most ``n`` rows per key before the shuffle
-    (WindowGroupLimit), so a hot key ships ``tasks * n`` rows. Larger ``n``: the key
-    is first split over ``SPREAD`` salts, each keeping its own first ``n``.
+    (WindowGroupLimit), so a hot key ships ``tasks * n`` rows. Larger ``n``, or one global
+    ranking (no keys): rows are first split over ``SPREAD`` salts, each keeping its own
+    first ``n``, so the last task sees ``SPREAD * n`` rows.
     """
-    if n > MAP_SIDE_LIMIT:
+    if n > MAP_SIDE_LIMIT or not by:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)))
         inner = Window.partitionBy(*by, "_salt").orderBy(*order)
         df = (
@@ -103,10 +104,10 @@ def dense_ids(df: DataFrame, key: str, out: str, buckets: int = 1024) -> DataFra
     return numbered_keys.select(key, (F.col(out) - 1).cast("int").alias(out))
 
 
-def rank_cutoff(df: DataFrame, score: str, n: int) -> DataFrame:
+def rank_cutoff(df: DataFrame, key: str, score: str, n: int) -> DataFrame:
     """Rows at or above the ``n``-th largest score, ties kept; all rows when there are fewer.
 
-    Only ``n`` scores travel to find the cut; the rows themselves are filtered in place.
+    Only the scores travel to find the cut; the rows themselves are filtered in place.
     """
-    cutoff = df.select(score).orderBy(F.desc(score)).limit(n).agg(F.min(score).alias("cut"))
-    return df.where(F.col(score) >= cutoff.scalar())
+    best = top_n(df.select(key, score), [], [F.desc(score)], n, "_r")
+    return df.where(F.col(score) >= best.agg(F.min(score)).scalar())

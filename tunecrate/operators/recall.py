@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tunecrate.functions import ids
 from tunecrate.operators.lists import ITEM, POS, USER, first_seen, shuffled_top, without
 from tunecrate.operators.ranking_windows import capped_top_n, numbered, running_total, top_n
+from tunecrate.session import cut_lineage
 
 
 def topn_per_key(df: DataFrame, key: str, score: str, tie: str, n: int, rank: str = "rank") -> DataFrame:
@@ -47,10 +48,14 @@ def _expand(favourites: DataFrame, neighbours: DataFrame) -> DataFrame:
 def favourite_recall(
     plays: DataFrame, neighbours: DataFrame, top: int = 30, min_dur: float = 2.0, limit: int = 5000
 ) -> DataFrame:
-    """Neighbours of the user's longest-played items."""
+    """Neighbours of the user's longest-played items.
+
+    A user has at most ``top`` times the neighbours per item, so the final numbering is bounded.
+    """
     liked = top_n(plays.where(F.col("dur") >= min_dur), [USER], [F.desc("dur"), F.col(ITEM)], top, "fav_rank")
     order = [F.col("fav_rank"), F.col("nb_rank"), F.col(ITEM)]
-    return top_n(_expand(liked, neighbours), [USER], order, limit, POS).select(USER, ITEM, POS)
+    ranked = numbered(_expand(liked, neighbours), [USER], order, POS)
+    return ranked.where(F.col(POS) <= limit).select(USER, ITEM, POS)
 
 
 def singer_recall(
@@ -71,9 +76,8 @@ def singer_recall(
     by_item = favourite_recall(plays, neighbours, min_dur=min_dur, limit=limit)
     stacked = by_singer.withColumn("prio", F.lit(0)).unionByName(by_item.withColumn("prio", F.lit(1)))
     order = [F.col("prio"), F.col(POS), F.col(ITEM)]
-    return top_n(first_seen(stacked, "prio", POS), [USER], order, limit, "_new").select(
-        USER, ITEM, F.col("_new").alias(POS)
-    )
+    ranked = numbered(first_seen(stacked, "prio", POS), [USER], order, "_new")
+    return ranked.where(F.col("_new") <= limit).select(USER, ITEM, F.col("_new").alias(POS))
 
 
 def dislike_expand(
@@ -137,8 +141,7 @@ def channel_recall(
 def hot_items(plays: DataFrame, n: int) -> DataFrame:
     """The ``n`` items with most players, numbered by popularity (a top-k report)."""
     players = plays.groupBy(ITEM).agg(F.count("*").alias("players"))
-    best = players.orderBy(F.desc("players"), F.col(ITEM)).limit(n)
-    return numbered(best, [], [F.desc("players"), F.col(ITEM)], "hot_rank")
+    return top_n(players, [], [F.desc("players"), F.col(ITEM)], n, "hot_rank")
 
 
 def hot_explore(
@@ -223,6 +226,7 @@ def tag_fill(
     made once per (tag, bucket) from a shuffled tag list, starting at a per-user offset, so
     a popular tag is never joined whole to each of its users.
     """
+    ranked = cut_lineage(ranked.select(USER, ITEM, "score", "rank"))
     have = ranked.groupBy(USER).agg(F.count("*").alias("have"))
     need = (
         user_tags.select(
@@ -250,4 +254,4 @@ def tag_fill(
         F.col("turn_rank") <= min_num - F.col("have")
     )
     added = filled.select(USER, ITEM, F.lit(0.0).alias("score"), (F.col("have") + F.col("turn_rank")).alias("rank"))
-    return ranked.select(USER, ITEM, "score", "rank").unionByName(added)
+    return ranked.unionByName(added)

@@ -8,40 +8,33 @@ from pyspark.sql import functions as F
 from tunecrate.functions import measures
 
 
-def focus_sessions(
-    timeline: DataFrame, gap: float, user: str = "user_id", ts: str = "ts", bucket_seconds: int = 86400
-) -> DataFrame:
+def focus_sessions(timeline: DataFrame, gap: float, user: str = "user_id", ts: str = "ts") -> DataFrame:
     """(user, session_start, session_end, seconds, events): split where the gap is at least ``gap`` seconds.
 
-    Two steps. Inside (user, time bucket) events form local sessions, so a user with a
-    third of all events is spread over its buckets. Local sessions are then stitched per
-    user: two local sessions join when the gap between them is short. Their number is
-    bounded by the time span, not by the events. A single event is a session of length 0.
+    Events of one user in the same slot of ``gap`` seconds are closer than the gap, so they
+    belong together: a map-side combined aggregation per (user, slot) replaces a window over
+    events. Slots are then stitched per user; their number is bounded by the time span, not
+    by the events. A single event is a session of length 0.
     """
-    events = timeline.select(
-        user, measures.epoch_seconds(timeline, ts).alias("t")
-    ).withColumn("_b", F.floor(F.col("t") / bucket_seconds))
-    local_order = Window.partitionBy(user, "_b").orderBy("t")
-    local = (
-        events.withColumn("_prev", F.lag("t").over(local_order))
-        .withColumn("_new", F.when(F.col("_prev").isNull() | (F.col("t") - F.col("_prev") >= gap), 1).otherwise(0))
-        .withColumn("_local", F.sum("_new").over(local_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(user, "_b", "_local")
+    micros = int(round(gap * 1e6))
+    slots = (
+        timeline.select(user, measures.epoch_micros(timeline, ts).alias("t"))
+        .groupBy(user, (F.col("t") - F.pmod("t", F.lit(micros))).alias("slot"))
         .agg(F.min("t").alias("s"), F.max("t").alias("e"), F.count("*").alias("events"))
     )
     order = Window.partitionBy(user).orderBy("s")
     stitched = (
-        local.withColumn("_prev", F.lag("e").over(order))
-        .withColumn("_new", F.when(F.col("_prev").isNull() | (F.col("s") - F.col("_prev") >= gap), 1).otherwise(0))
+        slots.withColumn("_prev", F.lag("e").over(order))
+        .withColumn("_new", F.when(F.col("_prev").isNull() | (F.col("s") - F.col("_prev") >= micros), 1).otherwise(0))
         .withColumn("_session", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(user, "_session")
-        .agg(F.min("s").alias("session_start"), F.max("e").alias("session_end"), F.sum("events").alias("events"))
+        .agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("events").alias("events"))
     )
     return stitched.select(
         user,
-        "session_start",
-        "session_end",
-        (F.col("session_end") - F.col("session_start")).alias("seconds"),
+        (F.col("s") / 1e6).alias("session_start"),
+        (F.col("e") / 1e6).alias("session_end"),
+        ((F.col("e") - F.col("s")) / 1e6).alias("seconds"),
         "events",
     )
 
