@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tunecrate.functions import measures, vectors
 from tunecrate.operators.filters import bernoulli_sample, good_bad_filter
+from tunecrate.operators.frames import result_frame
 from tunecrate.operators.lists import ITEM, POS, USER, without
 from tunecrate.operators.ranking_windows import capped_top_n, dense_ids, numbered, rank_cutoff
 from tunecrate.session import cut_lineage, ensure_checkpoint_dir
@@ -253,7 +254,7 @@ def _hot_lists(
                 out[ITEM] += list(items[order])
                 out["singer"] += list(names[order])
                 out["score"] += list(score[order])
-        return pd.DataFrame(out)
+        return result_frame(out)
 
     return (
         left.select("hb", "ub", USER, "factor", "barred").groupBy("hb", "ub")
