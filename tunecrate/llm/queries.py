@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunecrate.llm import decontaminate, quality_rules, secret_scan
+from tunecrate.llm import decontaminate, packing, quality_rules, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,8 @@ FROM texts LEFT JOIN listed USING (doc_id)
 @query("op10_secret_scan", _secret_sql())
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
