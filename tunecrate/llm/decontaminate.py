@@ -36,6 +36,11 @@ def _words(text: str) -> Column:
     return F.split(trimmed, r"[\x20\x09-\x0D]+", -1)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, though ``use`` names it often."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _windows(words: Column, width: int | Column) -> Column:
     """All runs of ``width`` words, as arrays; none if there are fewer words."""
     width = F.lit(width) if isinstance(width, int) else width
@@ -49,11 +54,8 @@ def item_shingles(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     """(item_id, width, shingles): distinct shingles of each item with words."""
     words = benchmark.select(F.col(item_id).alias("item_id"), _words(f"`{text}`").alias("_words")).where(F.size("_words") > 0)
     width = F.least(F.size("_words"), F.lit(WIDTH))
-    return (
-        words.select("item_id", width.alias("width"), F.col("_words"))
-        .select("item_id", "width", F.array_distinct(_windows(F.col("_words"), F.col("width"))).alias("shingles"))
-        .dropDuplicates(["item_id", "shingles"])
-    )
+    shingles = _let(F.col("_words"), lambda w: F.array_distinct(_windows(w, F.least(F.size(w), F.lit(WIDTH)))))
+    return words.select("item_id", width.alias("width"), shingles.alias("shingles")).dropDuplicates(["item_id", "shingles"])
 
 
 def sketches(items: DataFrame, threshold: float) -> DataFrame:
@@ -74,11 +76,10 @@ def contaminated(
     widths = [r[0] for r in items.select("width").distinct().collect()] or [WIDTH]  # five values at most
     index = stored(sketches(items, threshold), "sketches")
     probe = small_enough(index)
-    words = rows.select("doc_id", "_h", _words("text").alias("_words"))
     found = None
     for width in sorted(widths):
-        hashes = F.transform(_windows(F.col("_words"), width), lambda s: F.xxhash64(s))
-        hits = words.select("doc_id", "_h", F.explode(hashes).alias("hash")).join(probe.where(F.col("width") == width), "hash")
+        hashes = _let(_words("text"), lambda w: F.transform(_windows(w, width), lambda s: F.xxhash64(s)))  # noqa: B023
+        hits = rows.select("doc_id", "_h", F.explode(hashes).alias("hash")).join(probe.where(F.col("width") == width), "hash")
         hits = hits.select("doc_id", "_h", "item_id", "width")
         found = hits if found is None else found.unionByName(hits)
     pairs = stored(found.distinct(), "candidates").toDF("_id", "_key", "item_id", "width")
@@ -87,7 +88,7 @@ def contaminated(
     texts = texts.select("doc_id", "_h", "text", near["item_id"].alias("item_id"))
     item = small_enough(items).withColumnRenamed("item_id", "_item")
     checked = texts.join(item, texts["item_id"].eqNullSafe(item["_item"]))
-    have = F.size(F.array_intersect("shingles", _windows(_words("text"), F.col("width"))))
+    have = _let(_words("text"), lambda w: F.size(F.array_intersect("shingles", _windows(w, F.col("width")))))
     return (
         checked.select("doc_id", "_h", "item_id", F.size("shingles").cast("bigint").alias("n_shingles"), have.cast("bigint").alias("n_found"))
         .withColumn("containment", F.col("n_found") / F.col("n_shingles"))
