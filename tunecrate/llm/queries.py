@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunecrate.llm import decontaminate, packing, quality_rules, secret_scan
+from tunecrate.llm import decontaminate, near_dedup, packing, quality_rules, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_best_fit_packing")
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op7_prob_minhash")
+def op7_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
