@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tunecrate.llm import decontaminate, near_dedup, packing, quality_rules, secret_scan
+from tunecrate.llm import decontaminate, near_dedup, packing, quality_rules, secret_scan, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,3 +100,79 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_prob_minhash")
 def op7_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+SHARDING_SQL = f"""
+WITH rows AS (
+  SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS hash,
+         strlen(coalesce(text, '')) AS n_bytes
+  FROM documents),
+buckets AS (
+  SELECT depth, hash >> (60 - depth)::INT AS prefix, sum(n_bytes)::BIGINT AS size
+  FROM rows, (SELECT unnest(range(0, 61))::INT AS depth) GROUP BY ALL),
+leaves AS (
+  SELECT b.depth, b.prefix, b.size FROM buckets b LEFT JOIN buckets p ON p.depth = b.depth - 1 AND p.prefix = b.prefix >> 1
+  WHERE (b.size <= {sharding.LIMIT} OR b.depth = 60) AND (b.depth = 0 OR p.size > {sharding.LIMIT}))
+SELECT doc_id, n_bytes, right(lpad(bin(prefix), 60, '0'), depth) AS shard, depth, size AS shard_bytes, size > {sharding.LIMIT} AS over_limit
+FROM rows JOIN leaves ON rows.hash >> (60 - depth)::INT = prefix
+"""
+
+
+@query("op4_extendible_hashing", SHARDING_SQL)
+def op4_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def dated_lists(keys: DataFrame) -> DataFrame:
+    """Dated entries (list, key, added, at) over keys seen in the captures: which, where and when follow from the key's MD5."""
+    lot = F.conv(F.substring(F.md5("key"), 1, 7), 16, 10).cast("bigint")
+    day = lambda n: F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(n.cast("int"))
+    listed = keys.withColumn("lot", lot).where(F.col("lot") % 5 == 0)
+    name = F.when(F.col("lot") % 11 == 0, "allow").when(F.col("lot") % 3 == 0, "adult").when(F.col("lot") % 3 == 1, "malware").otherwise("spam")
+    dates = F.array_compact(F.array(
+        F.struct(F.lit(True).alias("added"), day(F.col("lot") % 180).alias("at")),
+        F.when(F.col("lot") % 2 == 0, F.struct(F.lit(False).alias("added"), day(180 + F.col("lot") % 120).alias("at"))),
+        F.when(F.col("lot") % 7 < 3, F.struct(F.lit(True).alias("added"), day(F.lit(320)).alias("at"))),
+    ))
+    return listed.select(name.alias("list"), "key", F.inline(dates))
+
+
+URL_SQL = r"""
+WITH captures AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes((page_id * 7919) % 525600) AS fetched FROM pages),
+bare AS (
+  SELECT page_id, fetched, regexp_replace(regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', ''), '^[^/@?]*@', '') AS b
+  FROM captures WHERE url <> ''),
+plain AS (
+  SELECT page_id, fetched, lower(regexp_extract(b, '^([^/?:]*)', 1)) || regexp_replace(b, '^[^/?:]*(:[0-9]*)?', '') AS b FROM bare),
+parts AS (
+  SELECT page_id, fetched, b, string_split(regexp_extract(b, '^([^/?]*)', 1), '.') AS labels, string_split(regexp_replace(b, '\?.*$', ''), '/') AS steps
+  FROM plain),
+keys AS (
+  SELECT DISTINCT page_id, fetched, unnest(
+    list_transform(range(1, len(labels) + 1), lambda i: 'h:' || array_to_string(labels[i:], '.'))
+    || list_transform(range(1, len(steps)), lambda i: 'p:' || array_to_string(steps[1:i], '/') || '/') || ['u:' || b]) AS key
+  FROM parts),
+lots AS (
+  SELECT key, lot FROM (SELECT DISTINCT key, ('0x' || substr(md5(key), 1, 7))::BIGINT AS lot FROM keys WHERE key NOT LIKE 'u:%') WHERE lot % 5 = 0),
+entries AS (
+  SELECT CASE WHEN lot % 11 = 0 THEN 'allow' WHEN lot % 3 = 0 THEN 'adult' WHEN lot % 3 = 1 THEN 'malware' ELSE 'spam' END AS list, key, added, dated
+  FROM (SELECT key, lot, true AS added, TIMESTAMP '2024-01-01' + to_days((lot % 180)::INT) AS dated FROM lots
+        UNION ALL SELECT key, lot, false, TIMESTAMP '2024-01-01' + to_days((180 + lot % 120)::INT) FROM lots WHERE lot % 2 = 0
+        UNION ALL SELECT key, lot, true, TIMESTAMP '2024-01-01' + to_days(320) FROM lots WHERE lot % 7 < 3)),
+spans AS (
+  SELECT list, key, added, dated AS since, coalesce(lead(dated) OVER (PARTITION BY list, key ORDER BY dated), TIMESTAMP '9999-12-31') AS until FROM entries),
+active AS (SELECT page_id, list FROM keys JOIN spans USING (key) WHERE added AND fetched >= since AND fetched < until),
+verdict AS (
+  SELECT page_id, count(*) AS n_active, min(list) FILTER (list <> 'allow') AS first_list, bool_or(list = 'allow') AS allowed FROM active GROUP BY page_id)
+SELECT page_id, url, fetched, coalesce(n_active, 0) AS n_active, first_list, coalesce(first_list IS NOT NULL AND NOT allowed, false) AS blocked
+FROM captures LEFT JOIN verdict USING (page_id)
+"""
+
+
+@query("op9_temporal_url_filter", URL_SQL)
+def op9_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("page_id") * 7919 % 525600).cast("int"))
+    keys = pages.where("url <> ''").select(F.explode(url_filter.url_keys(F.col("url"))).alias("key")).where(~F.col("key").startswith("u:"))
+    return url_filter.filtered(pages.withColumn("fetched", fetched), dated_lists(keys.distinct()))
