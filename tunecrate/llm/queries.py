@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunecrate.llm import decontaminate, near_dedup, packing, quality_rules, secret_scan, sharding, url_filter
+from tunecrate.llm import decontaminate, near_dedup, packing, quality_rules, secret_scan, sharding, url_filter, wavelet_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -176,3 +176,8 @@ def op9_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     fetched = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("page_id") * 7919 % 525600).cast("int"))
     keys = pages.where("url <> ''").select(F.explode(url_filter.url_keys(F.col("url"))).alias("key")).where(~F.col("key").startswith("u:"))
     return url_filter.filtered(pages.withColumn("fetched", fetched), dated_lists(keys.distinct()))
+
+
+@query("op6_wavelet_matrix")
+def op6_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet_store.round_trip(table(spark, sf_dir, "documents"))
