@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunecrate.llm import decontaminate, near_dedup, packing, quality_rules, secret_scan, sharding, url_filter, wavelet_store
+from tunecrate.llm import decontaminate, line_crf, near_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, url_filter, wavelet_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -181,3 +181,14 @@ def op9_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_wavelet_matrix")
 def op6_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_store.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op8_gear_chunks")
+def op8_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op3_line_crf")
+def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.scored(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
