@@ -16,9 +16,9 @@ J_P, the probability Jaccard similarity (plain Jaccard where no shingle repeats)
 5. A member that its bucket's star did not reach may still be linked to another member. So
    in buckets that hold several classes, members of different classes are compared with each
    other, once per pair (in the first band that they share), verified, and contracted again.
-   After that, no candidate pair across classes is left uncompared.
-
-Step 5 compares (members outside the main class) x (members), the price of losing no link.
+   A bound that loses nothing goes first: with shares a and b of the two texts' weight in
+   shingles that no other open text has, J_P <= (1 - a)(1 - b) / (1 - ab). Of the copies of
+   one text with edits of their own, those too far from it for any link drop out that way.
 
 Defined cases: texts without words (null, empty, white space) are classes of their own; a
 text of one to four words is one shingle; repeated rows and equal texts share a class; a null
@@ -204,16 +204,40 @@ def _stars(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _across(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs that share a bucket and are in different classes, each once."""
+def _own_shares(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, own): share of a node's shingle weight in shingles that no other of ``nodes`` has."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in words.byte_slices(words.filled(batch.column(1))):
+                text, shingles, counts = weighted_shingles(data, offsets)
+                total = np.bincount(text, weights=counts, minlength=high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(low, high - low).take(pa.array(text)), pa.array(shingles.view(np.int64)), pa.array(counts / total[text])],
+                    names=["node", "shingle", "share"],
+                )
+
+    held = texts.join(nodes, "node", "left_semi").select("node", "text")
+    single = held.mapInArrow(spread, "node binary, shingle bigint, share double").groupBy("shingle")
+    single = single.agg(F.count("*").alias("n"), F.first("node").alias("node"), F.first("share").alias("share")).where("n = 1")
+    return single.groupBy("node").agg(F.sum("share").alias("own"))
+
+
+def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that share a bucket, are in different classes and may be alike, each once."""
     labelled = members.select("band", "node").join(roots, "node", "left")
     labelled = labelled.select("band", "node", F.coalesce("root", "node").alias("root"))
     mixed = labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
-    rows = stored(labelled.join(mixed.select("band"), "band", "left_semi").join(nodes, "node"), "mixed")
-    x = rows.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("bands").alias("bands_a"))
-    y = rows.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("bands").alias("bands_b"))
+    rows = stored(labelled.join(mixed.select("band"), "band", "left_semi"), "mixed")
+    own = stored(_own_shares(rows.select("node").distinct(), texts), "own").where(F.col("own") > 1e-9)
+    rows = rows.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+    rows = stored(rows.where(1 - F.col("own") >= threshold - 1e-9).join(nodes, "node"), "open")
+    x = rows.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("bands").alias("bands_a"), F.col("own").alias("own_a"))
+    y = rows.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("bands").alias("bands_b"), F.col("own").alias("own_b"))
     first_shared = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == F.col("band")
-    return x.join(y, "band").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & first_shared).select("a", "b")
+    a, b = F.col("own_a"), F.col("own_b")
+    alike = (1 - a) * (1 - b) >= (threshold - 1e-9) * (1 - a * b)
+    return x.join(y, "band").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & alike & first_shared).select("a", "b")
 
 
 def _rows_and_roots(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -229,10 +253,15 @@ def _rows_and_roots(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataF
     texts = stored(docs.join(wanted, at).select("node", "text").dropDuplicates(["node"]), "texts")
     links = stored(verified(stored(_stars(members), "stars"), texts, threshold), "links")
     roots = contracted(links)
-    more = verified(stored(_across(members, nodes.select("node", "bands"), roots), "across"), texts, threshold)
-    more = stored(more, "more")
+    across = stored(_across(members, nodes.select("node", "bands"), texts, roots, threshold), "across")
+    more = stored(verified(across, texts, threshold), "more")
     if not more.isEmpty():
-        roots = contracted(links.unionByName(more))
+        ends = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
+        known = roots.unionByName(ends.join(roots, "node", "left_anti").select("node", F.col("node").alias("root")))
+        at = lambda c: known.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+        joined = more.join(at("a"), "a").join(at("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        higher = contracted(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        roots = stored(known.join(higher, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
     return rows.drop("bands"), roots
 
 
