@@ -31,8 +31,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked and ``n_chars`` counted anew."""
-    out = secret_scan.mask_secrets(docs)
-    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return secret_scan.mask_secrets(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tunecrate.llm import decontaminate, line_crf, near_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, url_filter, wavelet_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +193,8 @@ def op8_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return line_crf.scored(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
