@@ -243,6 +243,23 @@ def test_own_shingles_bound_the_similarity():
         assert near_dedup.probability_jaccard((a, x), (b, y)) <= (1 - p) * (1 - q) / (1 - p * q) + 1e-9
 
 
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PAIRED", 3)
+    monkeypatch.setattr(near_dedup, "TILE_ROWS", 12)
+    r, words = random.Random(11), prose(110, 21).split()
+    texts = []
+    for i in range(150):
+        own = list(words)
+        for _ in range(r.randint(0, 7)):
+            at = r.randrange(len(own))
+            own[at : at + 1] = r.choice([[], [f"w{r.randrange(9)}"], [own[at], "extra"]])
+        texts.append((i, " ".join(own)))
+    found = {x["doc_id"]: x["class_id"] for x in near_dedup.classes(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    group = brute_classes(texts)
+    least = {g: min(i for i, h in enumerate(group) if h == g) for g in set(group)}
+    assert found == {i: least[g] for i, g in enumerate(group)} and len(least) > 5
+
+
 def best_fit(lengths, capacity):
     gaps = []
     for length in sorted(lengths, reverse=True):

@@ -15,8 +15,9 @@ J_P, the probability Jaccard similarity (plain Jaccard where no shingle repeats)
 4. Links become classes by contraction to random local minima.
 5. A member that its bucket's star did not reach may still be linked to another member. So
    in buckets that hold several classes, members of different classes are compared with each
-   other, once per pair (in the first band that they share), verified, and contracted again.
-   A bound that loses nothing goes first: with shares a and b of the two texts' weight in
+   other, once per pair (in the first band that they share), and contracted again. Buckets of
+   up to 64 members list their pairs; larger ones are cut into blocks that meet two by two in
+   matrix products, which write links only. A bound that loses nothing goes first: with shares a and b of the two texts' weight in
    shingles that no other open text has, J_P <= (1 - a)(1 - b) / (1 - ab). Of the copies of
    one text with edits of their own, those too far from it for any link drop out that way.
 
@@ -41,6 +42,8 @@ from tunecrate.llm.storage import keyed, small_enough, stored
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, PER_BAND = 24, 4
+PAIRED = 64  # members of a bucket whose pairs are written out: at most 63 per member
+TILE_ROWS, TILE_BYTES = 512, 4 << 20
 
 _A, _B, _C = (np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03, 0x9FB21C651E98DF25))
 
@@ -223,8 +226,8 @@ def _own_shares(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     return single.groupBy("node").agg(F.sum("share").alias("own"))
 
 
-def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that share a bucket, are in different classes and may be alike, each once."""
+def _open_rows(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """(band, node, root, bands, own, size) of the buckets with several classes, without nodes that no other can reach."""
     labelled = members.select("band", "node").join(roots, "node", "left")
     labelled = labelled.select("band", "node", F.coalesce("root", "node").alias("root"))
     mixed = labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
@@ -232,6 +235,12 @@ def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataF
     own = stored(_own_shares(rows.select("node").distinct(), texts), "own").where(F.col("own") > 1e-9)
     rows = rows.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
     rows = stored(rows.where(1 - F.col("own") >= threshold - 1e-9).join(nodes, "node"), "open")
+    size = rows.groupBy("band").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    return stored(rows.join(size, "band"), "sized")
+
+
+def _pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of small buckets in different classes that may be alike, each once."""
     x = rows.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("bands").alias("bands_a"), F.col("own").alias("own_a"))
     y = rows.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("bands").alias("bands_b"), F.col("own").alias("own_b"))
     first_shared = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == F.col("band")
@@ -240,6 +249,72 @@ def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataF
     return x.join(y, "band").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & alike & first_shared).select("a", "b")
 
 
+def tile_links(
+    sets: list[tuple[np.ndarray, np.ndarray]], roots: np.ndarray, sides: np.ndarray, earlier: np.ndarray, threshold: float
+) -> list[tuple[int, int]]:
+    """Pairs of J_P of ``threshold`` or more among the sets of a tile, by matrix products.
+
+    The products give each pair's common shares exactly, and with them the bound
+    (1 - a)(1 - b) / (1 - ab); what passes it is computed exactly. Pairs of one class are
+    skipped, as are pairs of one side if the tile has two, and those that share a hash of
+    ``earlier`` bands, which meet in that band's bucket.
+    """
+    n = len(sets)
+    shingles, times = np.unique(np.concatenate([h for h, _ in sets]), return_counts=True)
+    shingles = shingles[times > 1]
+    common = np.zeros((n, n), np.float32)
+    for low in range(0, len(shingles), 4096):  # so many columns at a time
+        part = shingles[low : low + 4096]
+        share = np.zeros((n, len(part)), np.float32)
+        for i, (hashes, counts) in enumerate(sets):
+            at = np.searchsorted(part, hashes)
+            here = (at < len(part)) & (part[np.minimum(at, len(part) - 1)] == hashes)
+            share[i, at[here]] = counts[here] / counts.sum()
+        common += share @ (share > 0).astype(np.float32).T
+    lost, other = 1 - common, 1 - common.T
+    able = (1 - lost) * (1 - other) >= (threshold - 1e-3) * (1 - lost * other)
+    able &= (roots[:, None] != roots[None, :]) & np.triu(np.ones((n, n), bool), 1)
+    if sides.min() != sides.max():
+        able &= sides[:, None] != sides[None, :]
+    found = []
+    for i, j in zip(*np.nonzero(able)):
+        if not (earlier[i] == earlier[j]).any() and probability_jaccard(sets[i], sets[j]) >= threshold - 1e-9:
+            found.append((i, j))
+    return found
+
+
+def _tiles(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links across classes in large buckets: blocks of bounded size meet two by two, no pair is written."""
+
+    def solve(table: pa.Table) -> pa.Table:
+        nodes, band = table.column("node").to_pylist(), table.column("band")[0].as_py()
+        roots = np.unique(np.array([r.hex() for r in table.column("root").to_pylist()]), return_inverse=True)[1]
+        bands = np.array(table.column("bands").to_pylist(), np.int64)
+        earlier = bands[:, : np.flatnonzero(bands[0] == band)[0]]  # a pair that shares one of these is met there
+        sets = _sets(table.column("text").combine_chunks())
+        links = tile_links(sets, roots, np.array(table.column("side").to_pylist()), earlier, threshold)
+        links = [(nodes[i], nodes[j]) for i, j in links]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
+
+    sized = rows.join(texts, "node")
+    weight = sized.groupBy("band").agg(F.sum(F.octet_length("text")).alias("n_bytes"), F.count("*").alias("n"))
+    blocks = F.greatest(F.ceil(F.col("n") / TILE_ROWS), F.ceil(F.col("n_bytes") / TILE_BYTES)).cast("int")
+    placed = sized.join(weight.select("band", blocks.alias("blocks")), "band")
+    placed = placed.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("band", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "root", "bands", "text")
+    return met.groupBy("band", "i", "j").applyInArrow(solve, "a binary, b binary")
+
+
+def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """All links between members of different classes that share a bucket."""
+    rows = _open_rows(members, nodes, texts, roots, threshold)
+    pairs = stored(_pairs(rows.where(F.col("size") <= PAIRED), threshold), "pairs")
+    small = verified(pairs, texts, threshold)
+    large = _tiles(rows.where(F.col("size") > PAIRED).drop("size", "own"), texts, threshold)
+    return small.unionByName(large)
+
+
 def _rows_and_roots(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Sketched rows (doc_id, _h, node) and (node, root) of the nodes that are linked to another."""
     rows = stored(sketches(docs), "sketches")
@@ -253,8 +328,7 @@ def _rows_and_roots(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataF
     texts = stored(docs.join(wanted, at).select("node", "text").dropDuplicates(["node"]), "texts")
     links = stored(verified(stored(_stars(members), "stars"), texts, threshold), "links")
     roots = contracted(links)
-    across = stored(_across(members, nodes.select("node", "bands"), texts, roots, threshold), "across")
-    more = stored(verified(across, texts, threshold), "more")
+    more = stored(_across(members, nodes.select("node", "bands"), texts, roots, threshold), "more")
     if not more.isEmpty():
         ends = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
         known = roots.unionByName(ends.join(roots, "node", "left_anti").select("node", F.col("node").alias("root")))
