@@ -6,17 +6,16 @@ bytes before; both depend on nearby bytes alone, so an insertion moves only the
 it and a repeated passage is cut alike wherever it stands. ``most`` bytes without a cut force
 one, counted from the last cut.
 
-1. One pass cuts whole texts; a chunk is (document, place, size, digest, words).
+1. One pass cuts whole texts; a chunk is (document, place, digest).
 2. Digests are counted with map-side sums: hot digests never meet in one task. Those that
-   occur in two documents or more keep their first place (least id, then place).
+   occur in two documents or more keep the least id that has them.
 3. Chunks with such a digest join back; runs of neighbouring repeated chunks are passages. A
    run counts from ``min_words`` words on: the chunks that hold a passage's two ends are cut
    by its surroundings, so a passage of over 50 words keeps a run of 25 or more (98 of 100 at 51 words, 99.7 of 100 at 80).
 4. All occurrences but the first are repeats, to be cut out.
 
-Defined cases: null and empty texts have no chunks; documents of equal id and other text are
-different documents, repeated rows are one; a null id is an id like others and comes first;
-extra columns are ignored by ``repeats`` and kept by ``without_repeats``; an empty table
+Defined cases: null and empty texts have no chunks; rows of equal id are one document, whose
+texts do not repeat each other, and so are all rows with a null id, which comes first; extra columns are ignored by ``repeats`` and kept by ``without_repeats``; an empty table
 gives none. Spans count bytes of the UTF-8 text, cut at characters.
 """
 
@@ -36,6 +35,7 @@ from tunecrate.llm.storage import keyed, small_enough, stored
 WINDOW = 32
 MASK_BITS = 4
 LEAST, MOST = 12, 1024
+PLACE, SIZE = 24, 12  # bit places of a chunk's start and size in its mark; its words take the lowest bits
 MIN_WORDS = 25
 
 GEAR = words.mix(np.arange(1001, 1257, dtype=np.uint64)).astype(np.uint32)
@@ -76,7 +76,7 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, _h, no, start, size, n_words, digest) of keyed ``docs``."""
+    """(doc_id, _h, mark, digest) of keyed ``docs``; a mark is a chunk's start, size and number of words in one long."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,35 +87,35 @@ def chunks(docs: DataFrame) -> DataFrame:
                     continue
                 starts = np.concatenate([[0], ends[:-1]])
                 text = np.searchsorted(offsets, ends, side="left") - 1
-                first = np.searchsorted(text, np.arange(high - low))
                 word_starts, _, _ = words.word_spans(data, offsets)
                 n_words = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts)
                 digests = words.span_hashes(data, starts, ends)
                 rows = pa.array(text)
+                marks = (starts - offsets[text] << PLACE) + (ends - starts << SIZE) + n_words
                 yield pa.RecordBatch.from_arrays(
                     [pc.take(batch.column(0).slice(low, high - low), rows), pc.take(batch.column(1).slice(low, high - low), rows),
-                     pa.array((np.arange(len(ends)) - first[text]).astype(np.int32)), pa.array((starts - offsets[text]).astype(np.int32)),
-                     pa.array((ends - starts).astype(np.int32)), pa.array(n_words.astype(np.int32)), pa.array(digests.view(np.int64))],
-                    names=["doc_id", "_h", "no", "start", "size", "n_words", "digest"],
+                     pa.array(marks.astype(np.int64)), pa.array(digests.view(np.int64))],
+                    names=["doc_id", "_h", "mark", "digest"],
                 )
 
-    return docs.select("doc_id", "_h", "text").mapInArrow(
-        cut, f"doc_id {kind}, _h bigint, no int, start int, size int, n_words int, digest bigint"
-    )
+    return docs.select("doc_id", "_h", "text").mapInArrow(cut, f"doc_id {kind}, _h bigint, mark bigint, digest bigint")
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, _h, start, end, n_words, n_chunks, first_doc_id) of later occurrences of passages; keyed ``docs``."""
     parts = stored(chunks(docs), "chunks")
-    place = F.struct("doc_id", "_h")
-    seen = parts.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    shared = seen.where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first")
-    again = parts.join(shared, "digest").where(~place.eqNullSafe(F.col("first")))
-    again = again.repartition("doc_id", "_h").dropDuplicates(["doc_id", "_h", "no"])
-    island = F.col("no") - F.row_number().over(Window.partitionBy("doc_id", "_h").orderBy("no"))
+    seen = parts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max(F.col("doc_id").isNull()).alias("nameless"))
+    first = F.when(~F.col("nameless"), F.col("first"))
+    shared = seen.where((F.col("first") != F.col("last")) | (F.col("nameless") & F.col("first").isNotNull())).select("digest", first.alias("first"))
+    again = parts.join(shared, "digest").where(~F.col("doc_id").eqNullSafe(F.col("first")))
+    again = again.repartition("doc_id", "_h").dropDuplicates(["doc_id", "_h", "mark"])
+    size = F.expr(f"shiftright(mark, {SIZE}) & {(1 << PLACE - SIZE) - 1}")
+    again = again.select("doc_id", "_h", "first", F.expr(f"shiftright(mark, {PLACE})").alias("start"), size.alias("size"), F.expr(f"mark & {(1 << SIZE) - 1}").alias("n_words"))
+    before = Window.partitionBy("doc_id", "_h").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    island = F.col("start") - F.coalesce(F.sum("size").over(before), F.lit(0))  # the same all along a run
     runs = again.withColumn("island", island).groupBy("doc_id", "_h", "island").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.sum("n_words").alias("n_words"),
-        F.count("*").alias("n_chunks"), F.max(F.struct("size", "first"))["first"]["doc_id"].alias("first_doc_id"),
+        F.count("*").alias("n_chunks"), F.max(F.struct("size", "first"))["first"].alias("first_doc_id"),
     )
     return runs.where(F.col("n_words") >= min_words).drop("island")
 
@@ -135,10 +135,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     raw = F.encode(F.col(f"_row.{text}"), "UTF-8")
 
     def step(acc, s):
-        piece = F.substring(raw, acc["at"] + 1, s["start"] - acc["at"])
+        piece = F.substring(raw, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         return F.struct(s["end"].alias("at"), F.concat(acc["out"], piece).alias("out"))
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit(b"").alias("out"))
-    kept = F.aggregate("_spans", begin, step, lambda acc: F.decode(F.concat(acc["out"], F.substring(raw, acc["at"] + 1, F.octet_length(raw))), "UTF-8"))
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(b"").alias("out"))
+    kept = F.aggregate("_spans", begin, step, lambda acc: F.decode(F.concat(acc["out"], F.substring(raw, (acc["at"] + 1).cast("int"), F.octet_length(raw))), "UTF-8"))
     cleaned = F.when(F.col("_spans").isNull(), F.col(f"_row.{text}")).otherwise(kept)
     return joined.select(*(cleaned.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns))
