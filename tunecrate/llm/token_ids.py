@@ -14,6 +14,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,7 @@ class Encoder:
     def _remember(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
         count, base = len(self.slots), self.used
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         for name, need in (("starts", count + len(ids)), ("sizes", count + len(ids)), ("flat", base + len(flat))):
             old = getattr(self, name)
             if need > len(old):
@@ -102,21 +103,14 @@ class Encoder:
             folded = data.copy()
             folded[((data >= 65) & (data <= 90)) | capital] += 32
             return a, b, kind[a] == OTHER, folded
-        a = np.flatnonzero(begin)
-        b = np.concatenate([a[1:], [len(data)]]) if len(a) else a
-        is_end = np.isin(b, offsets[1:]) if len(a) else np.zeros(0, bool)
-        run = (kind[a] == SPACE) & ~is_end  # white space with a word behind it: its last character parts from the rest
-        spaced = run & (data[b - 1] == 32) if len(a) else run
-        takes = np.concatenate([[False], spaced[:-1]]) if len(a) else run  # a word that takes the space before it
-        a2, b2 = a - takes, b.copy()
-        b2[run] -= 1
-        extra = np.flatnonzero(run & ~spaced)  # a last character that isn't a space stands alone
-        a3 = np.concatenate([a2, b[extra] - 1])
-        b3 = np.concatenate([b2, b[extra]])
-        whole = np.concatenate([kind[a] == OTHER, np.zeros(len(extra), bool)])
-        full = a3 < b3
-        order = np.argsort(a3[full], kind="stable")
-        a3, b3, whole = a3[full][order], b3[full][order], whole[full][order]
+        last = np.zeros(len(data), bool)  # last white space before a word parts from the run; a space goes to the word
+        last[:-1] = (kind[:-1] == SPACE) & (kind[1:] != SPACE)
+        last[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = False
+        begin |= last
+        begin[np.flatnonzero(last & (data == 32)) + 1] = False
+        a3 = np.flatnonzero(begin)
+        b3 = np.append(a3[1:], len(data)) if len(a3) else a3
+        whole = kind[b3 - 1] == OTHER
         if _ODD_LEAD[data].any():
             raw = data.tobytes()
             strange = [i for i, (x, y) in enumerate(zip(offsets[:-1], offsets[1:])) if _OTHER_SPACE.search(raw[x:y].decode())]

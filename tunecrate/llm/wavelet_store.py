@@ -57,17 +57,19 @@ class WaveletMatrix:
     @classmethod
     def of(cls, ids: np.ndarray, width: int | None = None) -> WaveletMatrix:
         width = width or max(1, int(ids.max(initial=0)).bit_length())
-        rest, zeros, planes, ones = ids, [], [], []
+        kind = np.uint16 if width <= 16 else np.uint32
+        rest, zeros, planes, ones = ids.astype(kind), [], [], []
         for level in range(width - 1, -1, -1):
-            bits = (rest >> np.uint32(level)) & np.uint32(1) != 0
-            padded = np.zeros(-(-len(bits) // BLOCK) * BLOCK, bool)
-            padded[: len(bits)] = bits
-            per_block = padded.reshape(-1, BLOCK).sum(axis=1)
+            bits = (rest & kind(1 << level)) != 0
+            plane = np.packbits(bits)
+            padded = np.zeros(-(-len(plane) * 8 // BLOCK) * (BLOCK // 64), np.uint64)
+            padded.view(np.uint8)[: len(plane)] = plane
+            per_block = np.bitwise_count(padded).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.int64)
             ones.append((np.cumsum(per_block) - per_block).astype("<u4").tobytes())
-            planes.append(np.packbits(bits).tobytes())
-            low = rest[~bits]
-            zeros.append(len(low))
-            rest = np.concatenate([low, rest[bits]])
+            planes.append(plane.tobytes())
+            at = np.concatenate([np.flatnonzero(~bits), np.flatnonzero(bits)])
+            zeros.append(len(bits) - int(per_block.sum()))
+            rest = rest[at]
         return cls(len(ids), width, zeros, planes, ones)
 
     def _bit(self, level: int, i: int) -> int:
@@ -135,15 +137,16 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids in order: planes are merged from the lowest up."""
-        ids = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.width <= 16 else np.uint32
+        ids = np.zeros(self.n, kind)
         for level in range(self.width - 1, -1, -1):
-            bits = np.unpackbits(self.planes[level], count=self.n).astype(bool)
-            merged = np.empty(self.n, np.uint32)
+            bits = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            merged = np.empty(self.n, kind)
             zeros = self.zeros[level]
-            merged[~bits] = ids[:zeros]
-            merged[bits] = ids[zeros:] | np.uint32(1 << (self.width - 1 - level))
+            merged[np.flatnonzero(~bits)] = ids[:zeros]
+            merged[np.flatnonzero(bits)] = ids[zeros:] | kind(1 << (self.width - 1 - level))
             ids = merged
-        return ids
+        return ids.astype(np.uint32)
 
 
 def _row(part: int, shard: int, doc_ids: list, sizes: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
