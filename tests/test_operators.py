@@ -189,6 +189,14 @@ def test_tag_fill_fills_the_deficit(spark):
     assert [r["item_id"] for r in got if r["user_id"] == "v"] == ["z"]
 
 
+def test_tag_fill_takes_any_number_of_tags(spark):
+    ranked = frame(spark, [("u", "a", 0.9, 1)], "user_id string, item_id string, score double, rank bigint")
+    tags = frame(spark, [("u", f"tag{i}", 1.0 + (i == 6) + (i == 8)) for i in range(9)], "user_id string, tag string, weight double")
+    tagged = frame(spark, [(f"tag{i}", f"t{i}") for i in range(9)], "tag string, item_id string")
+    got = recall.tag_fill(ranked, tags, tagged, 5).orderBy("rank").collect()
+    assert [r["item_id"] for r in got] == ["a", "t6"]
+
+
 def test_author_cap_leaves_unknown_authors(spark):
     ranked = frame(spark, [("u", i, 1.0 - i / 100) for i in range(8)], "user_id string, item_id int, score double")
     authors = frame(spark, [(i, "x") for i in range(4)], "item_id int, author string")
@@ -274,6 +282,21 @@ def test_fold_in_solves_the_system(spark, monkeypatch):
         assert np.allclose(got[user], np.linalg.solve(lhs, rhs))
 
 
+def test_partial_sums_merge_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(factors, "ROWS_PER_PART", 4)
+    monkeypatch.setattr(factors, "MERGE", 3)
+    rnd = np.random.default_rng(8)
+    y = rnd.normal(size=(150, 3))
+    ratings = [(u, i, 0.5 + (u * i) % 7) for u, n in ((1, 150), (2, 3), (3, 40)) for i in range(n)]
+    items = frame(spark, [(i, [float(x) for x in y[i]]) for i in range(150)], "item_id int, factor array<double>")
+    got = factors.solve_factors(frame(spark, ratings, "user_id int, item_id int, rating double"), items, 10.0, 0.1).collect()
+    assert len(got) == 3
+    for r in got:
+        own = [(i, c) for u, i, c in ratings if u == r["user_id"]]
+        lhs = y.T @ y + sum(10 * c * np.outer(y[i], y[i]) for i, c in own) + 0.1 * len(own) * np.eye(3)
+        assert np.allclose(r["factor"], np.linalg.solve(lhs, sum((1 + 10 * c) * y[i] for i, c in own)))
+
+
 def test_implicit_als_lowers_the_loss(spark):
     rnd = random.Random(2)
     plays = frame(spark, [(f"u{u}", f"i{i}", 1 + rnd.random() * 9) for u in range(30) for i in range(20) if (u + i) % 3 == 0],
@@ -362,7 +385,7 @@ def brute_cosine(a, b, n, self_=True):
 
 @pytest.mark.parametrize("shape", ["spread", "clusters", "copies"])
 def test_cosine_topn_is_exact(spark, monkeypatch, shape):
-    monkeypatch.setattr(nearest, "ROWS_PER_PIVOT", 20)
+    monkeypatch.setattr(nearest, "LEAST_ROWS", 40)
     rnd = np.random.default_rng(9)
     m = rnd.normal(size=(240, 5))
     if shape == "clusters":

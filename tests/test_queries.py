@@ -59,6 +59,17 @@ def test_runs(name, spark):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
+def test_pool_counts_every_pair_of_a_long_playlist(spark, tmp_path):
+    from tunecrate.plans.views import View
+
+    rows = [(1, i) for i in range(900)] + [(2, 3), (2, 5), (2, 5), (3, 5)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint").write.parquet(f"{tmp_path}/lineitem.parquet")
+    pool = View(spark, str(tmp_path)).pool
+    assert pool.count() == 900 * 200
+    top = pool.where("src = 3").orderBy("rank").first()
+    assert (top["dst"], top["sim"]) == (5, round(2 / math.sqrt(2 * 3), 9))
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).columns == ["item_id", "channel", "score", "rank"]
 

@@ -14,7 +14,7 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
     """One row (positives, negatives, auc): exact area under the ROC curve, ties counted half.
 
     Equal scores collapse map-side to (positives, negatives). The running count of lower
-    negatives is taken per score range, so no task sorts all scores.
+    negatives is taken per score range, so no task sorts all scores. Null if a class is empty.
     """
     positive = F.when(F.col(label) > 0.5, 1).otherwise(0)
     per_score = scored.groupBy(F.col(score).alias("s")).agg(
@@ -29,14 +29,14 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
     below = running_total(ranged, [], "_range", [F.col("s")], F.col("neg"), "neg_up_to")
     wins = F.sum(F.col("pos") * (F.col("neg_up_to") - F.col("neg") + F.col("neg") / 2))
     return below.agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), wins.alias("_w")).select(
-        "positives", "negatives", (F.col("_w") / (F.col("positives") * F.col("negatives"))).alias("auc")
+        "positives", "negatives", F.try_divide("_w", F.col("positives") * F.col("negatives")).alias("auc")
     )
 
 
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label", bins: int = 100) -> DataFrame:
-    """(bin, fpr, tpr) from high to low score; scores in [0, 1] fall into equal-width bins."""
+    """(bin, fpr, tpr) from high to low score; scores in [0, 1] fall into equal-width bins, others into the first or last."""
     positive = F.when(F.col(label) > 0.5, 1).otherwise(0)
-    level = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
+    level = F.greatest(F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
     binned = scored.groupBy(level.alias("bin")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
     )

@@ -19,7 +19,8 @@ from tunecrate.operators.ranking_windows import capped_top_n, dense_ids, numbere
 from tunecrate.session import cut_lineage, ensure_checkpoint_dir
 
 ROWS_PER_PART = 4096
-MAX_PARTS = 64
+MERGE = 64
+RATINGS_PER_BLOCK = 1_000_000
 HOT_BLOCK = 20000
 USER_BLOCK = 4096
 
@@ -53,9 +54,13 @@ def idf_rating(plays: DataFrame, idf: DataFrame) -> DataFrame:
     )
 
 
-def train_als(ratings: DataFrame, params: FactorParams, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+def train_als(
+    ratings: DataFrame, params: FactorParams, seed: int = 1, blocks: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(user factors, item factors) as (id, factor array); ids of any type.
 
+    ``blocks``: partitions of either side, by default one per ``RATINGS_PER_BLOCK`` ratings.
+
     Ids are numbered without collecting them; each frame is cut from its lineage because
     the trainer reads the ratings many times.
     """
@@ -64,8 +69,9 @@ def train_als(ratings: DataFrame, params: FactorParams, seed: int = 1) -> tuple[
     users = cut_lineage(dense_ids(ratings, USER, "u"))
     items = cut_lineage(dense_ids(ratings, ITEM, "i"))
     indexed = cut_lineage(ratings.join(users, USER).join(items, ITEM).select("u", "i", "rating"))
+    blocks = blocks or max(10, -(-indexed.count() // RATINGS_PER_BLOCK))
     model = ALS(
-        userCol="u", itemCol="i", ratingCol="rating", implicitPrefs=True, alpha=params.alpha,
+        numUserBlocks=blocks, numItemBlocks=blocks, userCol="u", itemCol="i", ratingCol="rating", implicitPrefs=True, alpha=params.alpha,
         regParam=params.reg, rank=params.rank, maxIter=params.iterations, seed=seed, checkpointInterval=5,
     ).fit(indexed)
     as_doubles = vectors.doubles(F.col("features")).alias("factor")
@@ -80,20 +86,14 @@ def implicit_als(
 ) -> DataFrame:
     """(item_id, factor): implicit ALS on IDF-weighted durations.
 
-    The trainer ends with a user step; one more item step makes the item factors optimal
-    for the final users.
+    The trainer ends with a user step. With ``finish_on_items`` users and items change
+    places, so that it ends with the items, optimal for the final users.
     """
     ratings = idf_rating(plays, idf)
-    users, items = train_als(ratings, params, seed)
     if not finish_on_items:
-        return items
-    flipped = ratings.where(F.col("rating") > 0).select(
-        F.col(ITEM).alias(USER), F.col(USER).alias(ITEM), "rating"
-    )
-    solved = solve_factors(
-        flipped, users.select(F.col(USER).alias(ITEM), "factor"), params.alpha, params.reg
-    )
-    return solved.select(F.col(USER).alias(ITEM), "factor")
+        return train_als(ratings, params, seed)[1]
+    flipped = ratings.select(F.col(ITEM).alias(USER), F.col(USER).alias(ITEM), "rating")
+    return train_als(flipped, params, seed)[0].withColumnRenamed(USER, ITEM)
 
 
 def als_factors_norm(
@@ -140,7 +140,7 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
 
     (Y'Y + Y'(C - I)Y + reg * n * I) x = Y'C 1 with c = 1 + alpha * rating. A user with more
     than ``ROWS_PER_PART`` rows is reduced to partial sums over parts of its rows, on many
-    tasks; the last step sees at most ``MAX_PARTS`` partial sums.
+    tasks; partial sums are merged ``MERGE`` at a time until one step can take them.
     """
     gram = _collect_gram(factors)
     rank = gram.shape[0]
@@ -152,8 +152,10 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
         ratings.groupBy(USER)
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > ROWS_PER_PART)
-        .select(USER, F.least(F.ceil(F.col("n") / ROWS_PER_PART), F.lit(MAX_PARTS)).alias("parts"))
+        .select(USER, F.ceil(F.col("n") / ROWS_PER_PART).alias("parts"))
     )
+    busy = cut_lineage(busy)
+    most_parts = busy.agg(F.max("parts")).first()[0] or 1
 
     def sums(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         y = np.stack(pdf["factor"].to_numpy())
@@ -169,7 +171,11 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
 
     def partial(pdf: pd.DataFrame) -> pd.DataFrame:
         lhs, rhs = sums(pdf)
-        return pd.DataFrame({USER: [pdf[USER].iloc[0]], "n": [len(pdf)], "lhs": [lhs[upper]], "rhs": [rhs]})
+        return pd.DataFrame({USER: [pdf[USER].iloc[0]], "part": [pdf["part"].iloc[0]], "n": [len(pdf)], "lhs": [lhs[upper]], "rhs": [rhs]})
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = {c: [np.sum(np.stack(pdf[c].to_numpy()), axis=0)] for c in ("lhs", "rhs")}
+        return pd.DataFrame({USER: [pdf[USER].iloc[0]], "part": [pdf["part"].iloc[0]], "n": [int(pdf["n"].sum())], **total})
 
     def solve_parts(pdf: pd.DataFrame) -> pd.DataFrame:
         lhs = np.zeros((rank, rank))
@@ -180,9 +186,11 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
     solved = f"{USER} {user_type}, factor array<double>"
     ordinary = known.join(busy, USER, "left_anti").groupBy(USER).applyInPandas(solve_whole, solved)
     split = known.join(busy, USER).withColumn("part", F.pmod(F.xxhash64(ITEM), F.col("parts")))
-    pieces = split.select(USER, "part", ITEM, "rating", "factor").groupBy(USER, "part").applyInPandas(
-        partial, f"{USER} {user_type}, n bigint, lhs array<double>, rhs array<double>"
-    )
+    summed = f"{USER} {user_type}, part bigint, n bigint, lhs array<double>, rhs array<double>"
+    pieces = split.select(USER, "part", ITEM, "rating", "factor").groupBy(USER, "part").applyInPandas(partial, summed)
+    while most_parts > MERGE:
+        most_parts = -(-most_parts // MERGE)
+        pieces = pieces.withColumn("part", F.col("part") % most_parts).groupBy(USER, "part").applyInPandas(merged, summed)
     return ordinary.unionByName(pieces.groupBy(USER).applyInPandas(solve_parts, solved))
 
 
@@ -207,8 +215,8 @@ def _hot_lists(
 
     Users and hot items meet in blocks of bounded size, each one matrix product; ties at the
     norm cut may make the hot pool larger than planned and only add blocks. A block returns
-    what can still be listed: allowed items, the best ``cap`` per singer, and with a single
-    block no more than ``length``.
+    what can still be listed: of the allowed items the best ``cap`` per singer, and of those
+    the first ``length`` (an item among the first of all blocks is among the first of its own).
     """
     hot = cut_lineage(
         hot.join(singers.select(ITEM, "singer"), ITEM, "left").select(
@@ -248,8 +256,7 @@ def _hot_lists(
                     order = order[~np.isin(items[order], gone)]
                 singer = pd.Series(codes[order])
                 order = order[(singer.groupby(singer).cumcount() < cap).to_numpy()]
-                if hot_blocks == 1:
-                    order = order[:length]
+                order = order[:length]
                 out[USER] += [user] * len(order)
                 out[ITEM] += list(items[order])
                 out["singer"] += list(names[order])

@@ -221,18 +221,23 @@ def tag_fill(
 ) -> DataFrame:
     """Fill short lists from the user's dominant tag with random items at score 0.
 
-    user_tags: (user_id, weights array); the first maximum wins. tagged: (tag index from 0,
-    item_id). The deficit is filled as far as the tag has items not yet listed. The draw is
+    user_tags: (user_id, tag, weight), the greatest weight and then the least tag wins; or
+    (user_id, weights array) with tags numbered from 0, where the first maximum wins. tagged:
+    (tag, item_id). The deficit is filled as far as the tag has items not yet listed. The draw is
     made once per (tag, bucket) from a shuffled tag list, starting at a per-user offset, so
     a popular tag is never joined whole to each of its users.
     """
     ranked = cut_lineage(ranked.select(USER, ITEM, "score", "rank"))
     have = ranked.groupBy(USER).agg(F.count("*").alias("have"))
-    need = (
-        user_tags.select(
+    if "weights" in user_tags.columns:
+        dominant = user_tags.select(
             USER, (F.array_position("weights", F.array_max("weights")) - 1).cast("bigint").alias("tag")
         )
-        .join(have, USER, "left")
+    else:
+        best = user_tags.groupBy(USER).agg(F.max("weight").alias("weight"))
+        dominant = user_tags.join(best, [USER, "weight"]).groupBy(USER).agg(F.min("tag").alias("tag"))
+    need = (
+        dominant.join(have, USER, "left")
         .withColumn("have", F.coalesce("have", F.lit(0)))
         .where(F.col("have") < min_num)
     )

@@ -442,14 +442,6 @@ _TAG_STEPS = [
 )
 def tag_fill(v: View) -> DataFrame:
     short = recall.author_cap(_decayed(v), _authors(v), 2, 12)
-    names = v.item_tag.select("tag").distinct()
-    numbered = names.select("tag", (F.row_number().over(Window.orderBy("tag")) - 1).alias("no"))
-    width = 6
-    weights = (
-        v.recent_plays.join(v.item_tag, "item_id").join(numbered, "tag").groupBy("user_id", "no").agg(F.round(F.sum("dur"), 6).alias("w"))
-        .groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("no", "w"))).alias("m"))
-        .select("user_id", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("weights"))
-    )
-    tagged = v.item_tag.join(numbered, "tag").select(F.col("no").cast("bigint").alias("tag"), "item_id")
-    return recall.tag_fill(short, weights, tagged, 20)
+    weights = v.recent_plays.join(v.item_tag, "item_id").groupBy("user_id", "tag").agg(F.round(F.sum("dur"), 6).alias("weight"))
+    return recall.tag_fill(short, weights, v.item_tag.select("tag", "item_id"), 20)
 

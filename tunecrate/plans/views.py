@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from tunecrate.functions import ids, measures
 from tunecrate.operators.factors import item_idf
 from tunecrate.operators.filters import id_mapping
-from tunecrate.operators.ranking_windows import running_total, top_n
+from tunecrate.operators.ranking_windows import top_n
 from tunecrate.session import cut_lineage
 
 HISTORY_END = "1998-01-01"
 RECS_END = "1999-01-01"
 YESTERDAY_START = "2001-06-01"
-CONTEXT = 5  # playlist positions that count as neighbours
+BLOCK_ITEMS = 256  # items of a playlist that meet in one task
 
 # Client source paths of the play log, one per line number 1..7.
 PATHS = [
@@ -93,32 +93,29 @@ class View:
 
     @cached_property
     def pool(self) -> DataFrame:
-        """(src, dst, sim, rank): items within five places of each other in a playlist.
+        """(src, dst, sim, rank): items that share a playlist, the 200 most similar of each item.
 
-        Neighbouring places are matched by equi-join on (playlist, place), so a very long
-        playlist adds rows in proportion to its length.
+        A playlist's items fall into blocks of about ``BLOCK_ITEMS``; items meet by equi-join on
+        (playlist, block, block), so a very long playlist spreads over tasks. All pairs count.
         """
-        members = self.playlist_item.withColumn("_b", F.pmod("item_id", F.lit(16)))
-        placed = running_total(members, ["playlist_id"], "_b", [F.col("item_id")], F.lit(1), "place")
-        placed = placed.select("playlist_id", "item_id", "place")
-        ahead = placed.select(
-            "playlist_id", F.col("item_id").alias("x"),
-            F.explode(F.sequence(F.col("place") + 1, F.col("place") + CONTEXT)).alias("place"),
-        )
-        met = ahead.join(placed.withColumnRenamed("item_id", "y"), ["playlist_id", "place"])
-        pairs = met.groupBy(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).agg(
-            F.count("*").alias("together")
-        )
-        pairs = pairs.select(F.col("lo").alias("src"), F.col("hi").alias("dst"), "together").unionByName(
-            pairs.select(F.col("hi").alias("src"), F.col("lo").alias("dst"), "together")
-        )
         size = self.playlist_item.groupBy("item_id").agg(F.count("*").alias("n"))
-        scored = (
-            pairs.join(size.select(F.col("item_id").alias("src"), F.col("n").alias("n_src")), "src")
-            .join(size.select(F.col("item_id").alias("dst"), F.col("n").alias("n_dst")), "dst")
-            .select("src", "dst", F.round(F.col("together") / F.sqrt(F.col("n_src") * F.col("n_dst")), 9).alias("sim"))
+        length = self.playlist_item.groupBy("playlist_id").agg(F.ceil(F.count("*") / BLOCK_ITEMS).alias("blocks"))
+        members = (
+            self.playlist_item.join(length, "playlist_id").join(size, "item_id")
+            .withColumn("block", F.pmod(F.xxhash64("item_id"), F.col("blocks")))
+        )
+        others = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+        x = members.select("playlist_id", "block", F.explode(others).alias("other"), F.col("item_id").alias("x"), F.col("n").alias("n_x"))
+        y = members.select(
+            "playlist_id", F.explode(others).alias("block"), F.col("block").alias("other"), F.col("item_id").alias("y"), F.col("n").alias("n_y")
         )
-        return top_n(scored, ["src"], [F.desc("sim"), F.col("dst")], 200, "rank")
+        met = x.join(y, ["playlist_id", "block", "other"]).where(F.col("x") < F.col("y"))
+        pairs = met.groupBy("x", "y").agg(F.count("*").alias("together"), F.first("n_x").alias("n_x"), F.first("n_y").alias("n_y"))
+        sim = F.round(F.col("together") / F.sqrt(F.col("n_x") * F.col("n_y")), 9).alias("sim")
+        both = F.inline(F.array(
+            F.struct(F.col("x").alias("src"), F.col("y").alias("dst")), F.struct(F.col("y").alias("src"), F.col("x").alias("dst"))
+        ))
+        return top_n(pairs.select(both, sim), ["src"], [F.desc("sim"), F.col("dst")], 200, "rank")
 
     @cached_property
     def shared_pool(self) -> DataFrame:
@@ -244,10 +241,8 @@ CTES: dict[str, tuple[list[str], str]] = {
     "recs": ([], _hist(_DAY.format(op=">=", day=HISTORY_END) + " AND " + _DAY.format(op="<", day=RECS_END))),
     "yesterday": ([], _hist(_DAY.format(op=">=", day=YESTERDAY_START))),
     "playlist_item": ([], "SELECT DISTINCT l_orderkey AS playlist_id, l_partkey AS item_id FROM lineitem"),
-    "placed": (["playlist_item"], "SELECT playlist_id, item_id, ROW_NUMBER() OVER (PARTITION BY playlist_id "
-               "ORDER BY item_id % 16, item_id) AS place FROM playlist_item"),
-    "together": (["placed"], "SELECT a.item_id AS src, b.item_id AS dst, COUNT(*) AS n FROM placed a JOIN placed b "
-                 f"ON a.playlist_id = b.playlist_id AND ABS(a.place - b.place) BETWEEN 1 AND {CONTEXT} GROUP BY 1, 2"),
+    "together": (["playlist_item"], "SELECT a.item_id AS src, b.item_id AS dst, COUNT(*) AS n FROM playlist_item a JOIN playlist_item b "
+                 "ON a.playlist_id = b.playlist_id AND a.item_id <> b.item_id GROUP BY 1, 2"),
     "item_size": (["playlist_item"], "SELECT item_id, COUNT(*) AS n FROM playlist_item GROUP BY 1"),
     "pool_all": (["together", "item_size"],
                  "SELECT src, dst, ROUND(t.n / SQRT(s.n * d.n), 9) AS sim FROM together t "
