@@ -194,6 +194,21 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
     return ordinary.unionByName(pieces.groupBy(USER).applyInPandas(solve_parts, solved))
 
 
+def optimality_gap(ratings: DataFrame, factors: DataFrame, solved: DataFrame, alpha: float, reg: float) -> DataFrame:
+    """(user_id, gap): how far solved factors are from solving their system, relative to its right side."""
+    gram = _collect_gram(factors)
+    rank = gram.shape[0]
+    joined = ratings.join(factors, ITEM).join(solved.select(USER, F.col("factor").alias("_x")), USER)
+    extra = alpha * F.col("rating")
+    pull = extra * vectors.dot(F.col("factor"), F.col("_x"))
+    each = [F.sum(pull * F.col("factor")[i]) for i in range(rank)] + [F.sum((1 + extra) * F.col("factor")[i]) for i in range(rank)]
+    sums = joined.groupBy(USER).agg(F.count("*").alias("n"), F.first("_x").alias("x"), F.array(*each).alias("s"))
+    level = F.transform(vectors.literal_matrix(gram.tolist()), lambda row: vectors.dot(row, F.col("x")))
+    left = F.zip_with(F.zip_with(level, F.slice("s", 1, rank), lambda a, b: a + b), F.col("x"), lambda a, x: a + reg * F.col("n") * x)
+    right = F.slice("s", rank + 1, rank)
+    return sums.select(USER, (vectors.norm(F.zip_with(left, right, lambda a, b: a - b)) / vectors.norm(right)).alias("gap"))
+
+
 def als_fold_in(
     plays: DataFrame, item_factors: DataFrame, idf: DataFrame, alpha: float, reg: float, max_dur: float = 30.0
 ) -> DataFrame:

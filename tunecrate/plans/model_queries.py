@@ -1,14 +1,21 @@
-"""Factor, embedding, clustering and click-model queries. Rows are checked, not values."""
+"""Factor, embedding, clustering and click-model queries.
+
+A trained factor, centre or embedding has no SQL form; its query returns whether it has the
+property that defines it (it solves its system, is nearest, matches the cost), and SQL gives
+the rows that must have it. Tree models are also run on separable samples, where SQL can
+follow them value by value.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunecrate.functions import vectors
+from tunecrate.functions import measures, vectors
 from tunecrate.operators import click_models, clustering, embeddings, evaluation, factors, recall
+from tunecrate.plans.recall_queries import _draw_int
 from tunecrate.plans.registry import query
-from tunecrate.plans.views import View
+from tunecrate.plans.views import View, with_views
 from tunecrate.session import cut_lineage
 
 ALS_PARAMS = factors.FactorParams.parse("40_0.01_16_5")
@@ -32,26 +39,39 @@ def _click_samples(v: View) -> DataFrame:
     )
 
 
-@query("implicit_als")
+@query("implicit_als", with_views(["plays", "idf"], "SELECT item_id, 16 AS dims, true AS optimal FROM plays JOIN idf USING (item_id) "
+       "WHERE idf > 0 GROUP BY 1"))
 def implicit_als(v: View) -> DataFrame:
-    out = factors.implicit_als(v.plays, v.idf, ALS_PARAMS)
-    return out.select("item_id", F.size("factor").alias("dims"), vectors.norm(F.col("factor")).alias("norm"))
+    """Item factors as ``factors.implicit_als`` trains them (items in the user's place), with their optimality."""
+    ratings = factors.idf_rating(v.plays, v.idf).where(F.col("rating") > 0)
+    flipped = cut_lineage(ratings.select(F.col("item_id").alias("user_id"), F.col("user_id").alias("item_id"), "rating"))
+    items, users = (cut_lineage(x) for x in factors.train_als(flipped, ALS_PARAMS))
+    gap = factors.optimality_gap(flipped, users, items, ALS_PARAMS.alpha, ALS_PARAMS.reg)
+    out = items.join(gap, "user_id")
+    return out.select(F.col("user_id").alias("item_id"), F.size("factor").alias("dims"), (F.col("gap") < 1e-3).alias("optimal"))
+
 
+_SAMPLED = f"SELECT * FROM plays WHERE {_draw_int(1, 'user_id', 'item_id')} < {int(0.8 * 2**32)}"
 
-@query("als_factors_norm")
+
+@query("als_factors_norm", with_views(["plays"], "SELECT DISTINCT 'user' AS kind, user_id AS id, 16 AS dims, true AS positive FROM sampled "
+       "UNION ALL SELECT DISTINCT 'item', item_id, 16, true FROM sampled", [("sampled", _SAMPLED)]))
 def als_factors_norm(v: View) -> DataFrame:
     ratings = v.plays.withColumnRenamed("dur", "rating")
     return factors.als_factors_norm(ratings, rank=16, iterations=8, fraction=0.8).select(
-        "kind", "id", "norm", F.size("factor").alias("dims")
+        "kind", "id", F.size("factor").alias("dims"), (F.col("norm") > 0).alias("positive")
     )
 
 
-@query("als_fold_in")
+@query("als_fold_in", with_views(["recent_plays", "idf", "item_vec"], "SELECT DISTINCT user_id, 64 AS dims, true AS optimal "
+       "FROM recent_plays JOIN idf USING (item_id) JOIN item_vec USING (item_id)"))
 def als_fold_in(v: View) -> DataFrame:
-    """Users of the recent period folded into fixed item vectors."""
+    """Users of the recent period folded into fixed item vectors; each must solve its system."""
     items = v.item_vec.withColumnRenamed("features", "factor")
-    out = factors.als_fold_in(v.recent_plays, items, v.idf, ALS_PARAMS.alpha, ALS_PARAMS.reg)
-    return out.select("user_id", F.size("factor").alias("dims"), vectors.norm(F.col("factor")).alias("norm"))
+    out = cut_lineage(factors.als_fold_in(v.recent_plays, items, v.idf, ALS_PARAMS.alpha, ALS_PARAMS.reg))
+    clamped = v.recent_plays.withColumn("dur", measures.clamp(F.col("dur"), 30.0))
+    gap = factors.optimality_gap(factors.idf_rating(clamped, v.idf), items, out, ALS_PARAMS.alpha, ALS_PARAMS.reg)
+    return out.join(gap, "user_id").select("user_id", F.size("factor").alias("dims"), (F.col("gap") < 1e-6).alias("optimal"))
 
 
 @query("als_recommend")
@@ -74,31 +94,54 @@ def _item2vec(v: View):
     return embeddings.item2vec(cut_lineage(seqs), size=32, min_count=5, partitions=4, iterations=2)
 
 
-@query("item2vec")
+_VOCABULARY = ("words", "SELECT CAST(item_id AS VARCHAR) AS id FROM playlist_item GROUP BY item_id HAVING COUNT(*) >= 5")
+
+
+@query("item2vec", with_views(["playlist_item"], "SELECT id, 32 AS dims, true AS usable FROM words", [_VOCABULARY]))
 def item2vec(v: View) -> DataFrame:
     vecs = embeddings.item_vectors(_item2vec(v))
-    return vecs.select("id", F.size("features").alias("dims"), vectors.norm(F.col("features")).alias("norm"))
+    length = vectors.norm(F.col("features"))
+    return vecs.select("id", F.size("features").alias("dims"), ((length > 0) & (length < float("inf"))).alias("usable"))
 
 
-@query("item2vec_neighbours")
+@query("item2vec_neighbours", with_views(["playlist_item"], "SELECT id AS a, LEAST(50, (SELECT COUNT(*) FROM words) - 1) AS n, true AS ordered "
+       "FROM words WHERE (SELECT COUNT(*) FROM words) > 1", [_VOCABULARY]))
 def item2vec_neighbours(v: View) -> DataFrame:
-    return embeddings.item2vec_neighbours(_item2vec(v), 50)
+    near = embeddings.item2vec_neighbours(_item2vec(v), 50)
+    steps = near.withColumn("_last", F.lag("cos").over(Window.partitionBy("a").orderBy("rank")))
+    return steps.groupBy("a").agg(
+        F.count("*").alias("n"), F.min((F.coalesce("_last", F.lit(1.0)) >= F.col("cos")) & (F.col("a") != F.col("b"))).alias("ordered")
+    )
+
+
+def _cost(v: View, centres: list) -> float:
+    """Sum of squared distances to the nearest centre, from the vectors themselves."""
+    nearest = F.array_min(F.transform(vectors.literal_matrix(centres), lambda c: vectors.sq_distance(F.col("features"), c)))
+    return v.vec.agg(F.sum(nearest)).first()[0]
 
 
-@query("kmeans_fit")
+@query("kmeans_fit", "SELECT UNNEST(range(5))::INT AS cluster, 64 AS dims, true AS cost_matches")
 def kmeans_fit(v: View) -> DataFrame:
-    return clustering.kmeans_centres(v.vec, 5, 30)
+    found = cut_lineage(clustering.kmeans_centres(v.vec, 5, 30))
+    cost = _cost(v, [r["centre"] for r in found.orderBy("cluster").collect()])
+    return found.select("cluster", F.size("centre").alias("dims"), (F.abs(F.col("wssse") / cost - 1) < 1e-9).alias("cost_matches"))
 
 
-@query("kmeans_assign")
+@query("kmeans_assign", with_views(["vec"], "SELECT id, true AS nearest FROM vec"))
 def kmeans_assign(v: View) -> DataFrame:
     model, _ = clustering.kmeans_fit(v.vec, 5, 30)
-    return clustering.kmeans_assign(v.vec, model).select("id", "cluster")
+    distances = F.transform(vectors.literal_matrix([c.tolist() for c in model.clusterCenters()]), lambda c: vectors.sq_distance(F.col("features"), c))
+    own = F.element_at(distances, F.col("cluster") + 1)
+    return clustering.kmeans_assign(v.vec, model).select("id", (own <= F.array_min(distances) + 1e-9).alias("nearest"))
 
 
-@query("kmeans_sweep")
+@query("kmeans_sweep", "SELECT UNNEST([2, 5, 8, 9])::INT AS k, true AS cost_matches")
 def kmeans_sweep(v: View) -> DataFrame:
-    return clustering.kmeans_sweep(v.vec, (2, 5, 8, 9), 10)
+    found = clustering.kmeans_sweep(v.vec, (2, 5, 8, 9), 10)
+    costs = {k: _cost(v, [c.tolist() for c in clustering.kmeans_fit(v.vec, k, 10)[0].clusterCenters()]) for k in (2, 5, 8, 9)}
+    expected = F.element_at(F.create_map(*[F.lit(x) for pair in costs.items() for x in pair]), F.col("k"))
+    # the trainer reports the cost before its last step, which can only have lowered it
+    return found.select("k", ((F.col("wssse") / expected).between(1 - 1e-9, 1.1)).alias("cost_matches"))
 
 
 @query("gbdt_train")
@@ -167,3 +210,60 @@ def rf_test_error(v: View) -> DataFrame:
 @query("rf_grid_cv")
 def rf_grid_cv(v: View) -> DataFrame:
     return click_models.rf_grid_cv(_samples(v).select("label", "features"), "5,10=3=gini,entropy", 2)
+
+
+def _separable(v: View) -> DataFrame:
+    """One integer feature; the label is whether it is 12 or more."""
+    level = F.floor(F.col("p_size") % 30 / 12) * 12
+    return v.table("part").select(
+        F.col("p_partkey").alias("id"), (level >= 12).cast("double").alias("label"), F.array(level.cast("double")).alias("features")
+    )
+
+
+_LEVELS = "SELECT p_partkey AS id, CASE WHEN p_size % 30 >= 12 THEN 1 ELSE -1 END AS y FROM part"
+
+
+def _margins(rounds: int, rate: float) -> str:
+    """Margins of boosted trees that separate the labels: the first tree gives y, each further one a step along the gradient."""
+    return (
+        "WITH RECURSIVE f(n, m) AS (SELECT 1, 1.0::DOUBLE UNION ALL "
+        f"SELECT n + 1, m + {rate} * 4 / (1 + exp(2 * m)) FROM f WHERE n < {rounds}), levels AS ({_LEVELS}), "
+        f"scored AS (SELECT id, y * m AS margin FROM levels, f WHERE n = {rounds}) "
+    )
+
+
+@query("gbdt_separable", _margins(10, 0.1) + "SELECT id, ROUND(margin, 6) AS margin, ROUND(1 / (1 + exp(-margin)), 6) AS prob FROM scored")
+def gbdt_separable(v: View) -> DataFrame:
+    model = click_models.gbdt_train(_separable(v).select("label", "features"), "10_4_0.1", subsample=1.0)
+    scored = click_models.gbdt_score(_separable(v), model)
+    return scored.select("id", F.round("margin", 6).alias("margin"), F.round("prob", 6).alias("prob"))
+
+
+@query("boosted_rounds_separable", _margins(15, 1.0) + "SELECT id, ROUND(1 / (1 + exp(-margin)), 6) AS prob FROM scored")
+def boosted_rounds_separable(v: View) -> DataFrame:
+    model = click_models.boosted_rounds(_separable(v).select("label", "features"))
+    return click_models.gbdt_score(_separable(v), model).select("id", F.round("prob", 6).alias("prob"))
+
+
+@query("gbdt_hold_out_separable", f"SELECT COUNT(*) FILTER (y > 0) AS positives, COUNT(*) FILTER (y < 0) AS negatives, 1.0::DOUBLE AS auc "
+       f"FROM ({_LEVELS}) WHERE {_draw_int(12345, 'id')} >= {int(0.8 * 2**32)}")
+def gbdt_hold_out_separable(v: View) -> DataFrame:
+    _, held = click_models.train_and_hold_out(_separable(v), "10_4_0.1", "id")
+    return evaluation.auc(held, score="margin")
+
+
+@query("rf_separable", f"SELECT id, CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prob FROM ({_LEVELS})")
+def rf_separable(v: View) -> DataFrame:
+    """The forest at the reference's 100 trees of depth 10."""
+    return click_models.rf_score(_separable(v), click_models.rf_train(_separable(v).select("label", "features")), ["id"])
+
+
+@query("rf_error_separable", "SELECT COUNT(*) AS samples, 0.0::DOUBLE AS error FROM part")
+def rf_error_separable(v: View) -> DataFrame:
+    _, error = click_models.rf_test_error(_separable(v), "id")
+    return v.table("part").agg(F.count("*").alias("samples")).withColumn("error", F.lit(error))
+
+
+@query("rf_grid_separable", "SELECT UNNEST([5, 5, 10, 10])::INT AS trees, 3 AS depth, UNNEST(['gini', 'entropy', 'gini', 'entropy']) AS impurity, 1.0::DOUBLE AS auc")
+def rf_grid_separable(v: View) -> DataFrame:
+    return click_models.rf_grid_cv(_separable(v).select("label", "features"), "5,10=3=gini,entropy", 2)
