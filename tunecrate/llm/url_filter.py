@@ -77,7 +77,7 @@ def active_entries(captures: DataFrame, entries: DataFrame) -> DataFrame:
     low, high = usable.agg(F.min("fetched")).scalar(), usable.agg(F.max("fetched")).scalar()
     spans = validity(entries).where((F.col("until") > low) & (F.col("since") <= high))  # clipped to the captures' time
     slots = F.sequence(_slot(F.greatest(F.col("since"), low)), _slot(F.least(F.col("until"), high)))
-    spans = small_enough(stored(spans.select("list", "key", "since", "until", F.explode(slots).alias("slot")), "intervals"))
+    spans = small_enough(stored(spans.select("list", "key", "since", "until", F.explode(slots).alias("slot")), "intervals"), 100_000)
     met = usable.withColumn("slot", _slot(F.col("fetched"))).join(spans, ["key", "slot"])
     return met.where((F.col("fetched") >= F.col("since")) & (F.col("fetched") < F.col("until"))).select("row", "list", "key")
 
