@@ -21,11 +21,17 @@ def topn_per_key(df: DataFrame, key: str, score: str, tie: str, n: int, rank: st
 
 
 def neighbour_table(
-    pool: DataFrame, trained: DataFrame, n: int = 100, extra_pool: DataFrame | None = None, extra_n: int = 100
+    pool: DataFrame, trained: DataFrame, n: int = 100, extra_pool: DataFrame | None = None, extra_n: int = 100,
+    numbered: bool = False,
 ) -> DataFrame:
-    """Best neighbours of each trained item, from one pool or two."""
+    """Best neighbours of each trained item, from one pool or two.
+
+    ``numbered``: the pools' ranks already count from 1 without gaps or ties.
+    """
 
     def best(p: DataFrame, keep: int) -> DataFrame:
+        if numbered:
+            return p.where(F.col("rank") <= keep).select("src", "dst", F.col("rank").alias("nb_rank"))
         return top_n(p.select("src", "dst", "rank"), ["src"], [F.col("rank"), F.col("dst")], keep, "nb_rank").select(
             "src", "dst", "nb_rank"
         )
@@ -42,6 +48,7 @@ def neighbour_table(
 def _expand(favourites: DataFrame, neighbours: DataFrame) -> DataFrame:
     """Neighbours of ranked favourites, each once, ordered by favourite then neighbour rank."""
     hits = favourites.select(USER, F.col(ITEM).alias("src"), "fav_rank").join(neighbours, "src")
+    hits = hits.repartition(USER)  # once for the first places and for the numbering after them
     return first_seen(hits.withColumnRenamed("dst", ITEM), "fav_rank", "nb_rank")
 
 

@@ -79,7 +79,7 @@ def als_recommend(v: View) -> DataFrame:
     """The whole chain: train item factors, fold users in, rank their candidates."""
     items = cut_lineage(factors.implicit_als(v.plays, v.idf, ALS_PARAMS))
     users = factors.als_fold_in(v.recent_plays, items, v.idf, ALS_PARAMS.alpha, ALS_PARAMS.reg)
-    candidates = recall.favourite_recall(v.recent_plays, recall.neighbour_table(v.pool, v.plays))
+    candidates = recall.favourite_recall(v.recent_plays, recall.neighbour_table(v.pool, v.plays, numbered=True))
     profiles = v.table("customer").where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("user_id"))
     everything = v.item_singer.select("item_id")
     nothing = everything.limit(0)

@@ -160,7 +160,7 @@ def rating(v: View) -> DataFrame:
 )
 def neighbour_table(v: View) -> DataFrame:
     trained = v.plays.where(F.col("dur") >= 4)
-    return recall.neighbour_table(v.shared_pool, trained, 20, v.pool_same("p_brand"), 5)
+    return recall.neighbour_table(v.shared_pool, trained, 20, v.pool_same("p_brand"), 5, numbered=True)
 
 
 @query(
@@ -168,7 +168,7 @@ def neighbour_table(v: View) -> DataFrame:
     with_views(["pool", "plays"], _favourites("plays", "neighbours", 30, 5000, "dur >= 2.0", "dur DESC"), [_NEIGH]),
 )
 def favourite_recall(v: View) -> DataFrame:
-    return recall.favourite_recall(v.plays, recall.neighbour_table(v.pool, v.plays))
+    return recall.favourite_recall(v.plays, recall.neighbour_table(v.pool, v.plays, numbered=True))
 
 
 @query(
@@ -180,7 +180,7 @@ def favourite_recall(v: View) -> DataFrame:
      ("by_item", _favourites("plays", "neighbours", 30, 5000, "dur >= 2.0", "dur DESC"))]),
 )
 def singer_recall(v: View) -> DataFrame:
-    return recall.singer_recall(v.plays, v.pool_same("p_brand"), recall.neighbour_table(v.shared_pool, v.plays))
+    return recall.singer_recall(v.plays, v.pool_same("p_brand"), recall.neighbour_table(v.shared_pool, v.plays, numbered=True))
 
 
 @query(
@@ -189,7 +189,7 @@ def singer_recall(v: View) -> DataFrame:
     + _favourites("plays", "neighbours", 10, 10**9, "dur <= 0.3", "dur") + ")", [_NEIGH]),
 )
 def dislike_expand(v: View) -> DataFrame:
-    return recall.dislike_expand(v.plays, recall.neighbour_table(v.pool, v.plays))
+    return recall.dislike_expand(v.plays, recall.neighbour_table(v.pool, v.plays, numbered=True))
 
 
 @query("exclusion_set", with_views(_HISTORIES, _EXCLUDED))

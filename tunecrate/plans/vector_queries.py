@@ -205,10 +205,9 @@ def feature_width_check(v: View) -> DataFrame:
     "AND s.user_id IN (SELECT user_id FROM ev WHERE event_type = 'click')"),
 )
 def click_label(v: View) -> DataFrame:
-    # the content key has 100 values, so a user's clicked set has at most 100 entries
-    clicked = v.events.where(F.col("event_type") == "click").groupBy("user_id").agg(F.collect_set("k").alias("clicked"))
+    clicked = v.events.where(F.col("event_type") == "click").select("user_id", F.col("k").alias("shown"))
     shown = v.events.where(F.col("event_type") == "view").select("event_id", "user_id", F.col("k").alias("shown"))
-    return features.click_label(shown.join(clicked, "user_id")).drop("clicked")
+    return features.click_label_pairs(shown, clicked)
 
 
 # --- sets and texts --------------------------------------------------------------------
