@@ -211,6 +211,50 @@ def pool_recall(v: View) -> DataFrame:
     return out
 
 
+# name -> (pool view, rank below, places); the tables have no language or audio, so these share the type and brand pools
+PRESETS = {
+    "special": ("pool", 100, 80), "theme": ("pool_type", 5, 10), "language": ("pool_type", 50, 50), "singer": ("pool_brand", 20, 10),
+    "audio": ("pool_brand", None, 5), "behaviour": ("pool", 100, 150),
+}
+#: name -> (pool view, rank below, best, drawn from them)
+SHUFFLED = {"special": ("pool", 100, 150, 50), "language": ("pool_type", 50, 150, 30), "behaviour": ("pool", 100, 400, 200)}
+
+
+def _preset_pools(v: View) -> dict[str, DataFrame]:
+    return {"pool": v.shared_pool, "pool_type": v.pool_same("p_type"), "pool_brand": v.pool_same("p_brand")}
+
+
+def _stacked(frames: dict[str, DataFrame]) -> DataFrame:
+    out = None
+    for name, df in frames.items():
+        part = df.select(F.lit(name).alias("pool"), "user_id", "item_id", "pos")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    "pool_recall_presets",
+    with_views(_POOLS, " UNION ALL ".join(f"SELECT '{n}' AS pool, user_id, item_id, pos FROM ({_pool_recall('recent_plays', *preset)})"
+    for n, preset in PRESETS.items())),
+)
+def pool_recall_presets(v: View) -> DataFrame:
+    """All six presets of pool recall, at their own ranks and places."""
+    pools = _preset_pools(v)
+    return _stacked({n: recall.pool_recall(v.recent_plays, pools[pool], rank, keep) for n, (pool, rank, keep) in PRESETS.items()})
+
+
+@query(
+    "pool_recall_shuffled_presets",
+    with_views(_POOLS, " UNION ALL ".join(
+        f"SELECT '{n}' AS pool, user_id, item_id, rn AS pos FROM (SELECT user_id, item_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY "
+        f"{_draw(1, 'user_id', 'item_id')}, user_id, item_id) AS rn FROM ({_pool_recall('recent_plays', pool, rank, best)})) WHERE rn <= {drawn}"
+        for n, (pool, rank, best, drawn) in SHUFFLED.items())),
+)
+def pool_recall_shuffled_presets(v: View) -> DataFrame:
+    pools = _preset_pools(v)
+    return _stacked({n: recall.pool_recall_shuffled(v.recent_plays, pools[p], rank, best, drawn) for n, (p, rank, best, drawn) in SHUFFLED.items()})
+
+
 @query(
     "pool_recall_shuffled",
     with_views(_POOLS, "SELECT user_id, item_id, rn AS pos FROM (SELECT user_id, item_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY "
@@ -262,10 +306,10 @@ def pool_merge(v: View) -> DataFrame:
     "fill_to_n",
     with_views(_POOLS, "SELECT user_id, item_id, rn AS pos FROM (SELECT user_id, item_id, ROW_NUMBER() OVER "
     "(PARTITION BY user_id ORDER BY prio, pos, item_id) AS rn FROM (SELECT *, 0 AS prio FROM theme UNION ALL "
-    "SELECT *, 1 AS prio FROM special)) WHERE rn <= 60", [_SPECIAL, _THEME]),
+    "SELECT *, 1 AS prio FROM behaviour)) WHERE rn <= 200", [_THEME, ("behaviour", _pool_recall("recent_plays", "pool", 100, 400))]),
 )
 def fill_to_n(v: View) -> DataFrame:
-    return lists.fill_to_n(_theme(v), _special(v), 60)
+    return lists.fill_to_n(_theme(v), recall.pool_recall(v.recent_plays, v.shared_pool, 100, 400), 200)
 
 
 def _interleave(distinct: bool) -> str:
