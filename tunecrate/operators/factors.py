@@ -20,6 +20,8 @@ from tunecrate.session import cut_lineage, ensure_checkpoint_dir
 
 ROWS_PER_PART = 4096
 MERGE = 64
+RATINGS_PER_TASK = 20_000
+SYSTEM_CELLS = 1 << 22  # matrix entries solved at a time
 RATINGS_PER_BLOCK = 1_000_000
 HOT_BLOCK = 20000
 USER_BLOCK = 4096
@@ -138,7 +140,8 @@ def _collect_gram(factors: DataFrame) -> np.ndarray:
 def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: float) -> DataFrame:
     """One regularised solve per user against fixed item factors.
 
-    (Y'Y + Y'(C - I)Y + reg * n * I) x = Y'C 1 with c = 1 + alpha * rating. A user with more
+    (Y'Y + Y'(C - I)Y + reg * n * I) x = Y'C 1 with c = 1 + alpha * rating. Users are solved in
+    blocks of about ``RATINGS_PER_TASK`` ratings; a block gets each factor it needs once. A user with more
     than ``ROWS_PER_PART`` rows is reduced to partial sums over parts of its rows, on many
     tasks; partial sums are merged ``MERGE`` at a time until one step can take them.
     """
@@ -147,9 +150,9 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
     upper = np.triu_indices(rank)
     user_type = ratings.schema[USER].dataType.simpleString()
 
-    known = ratings.join(factors, ITEM).select(USER, ITEM, "rating", "factor")
+    rated = cut_lineage(ratings.join(factors.select(ITEM), ITEM, "left_semi").select(USER, ITEM, "rating"))
     busy = (
-        ratings.groupBy(USER)
+        rated.groupBy(USER)
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > ROWS_PER_PART)
         .select(USER, F.ceil(F.col("n") / ROWS_PER_PART).alias("parts"))
@@ -166,8 +169,24 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
         x = np.linalg.solve(gram + lhs + reg * n * np.eye(rank), rhs)
         return pd.DataFrame({USER: [user], "factor": [x]})
 
-    def solve_whole(pdf: pd.DataFrame) -> pd.DataFrame:
-        return solution(pdf[USER].iloc[0], len(pdf), *sums(pdf))
+    def solve_block(mine: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+        """All users of a block, solved in stacks of bounded size. Each item factor came once."""
+        if not len(mine):
+            return pd.DataFrame({USER: [], "factor": []})
+        mine = mine.sort_values([USER, ITEM], kind="stable")
+        place = pd.Index(items["_item"]).get_indexer(mine[ITEM])
+        y, extra = np.stack(items["factor"].to_numpy())[place], alpha * mine["rating"].to_numpy()
+        starts = np.flatnonzero(np.append(True, mine[USER].to_numpy()[1:] != mine[USER].to_numpy()[:-1]))
+        ends = np.append(starts[1:], len(mine))
+        rhs = np.add.reduceat(y * (1.0 + extra)[:, None], starts)
+        solved: list[np.ndarray] = []
+        step = max(1, SYSTEM_CELLS // rank**2)
+        for first in range(0, len(starts), step):
+            own = slice(first, first + step)
+            lhs = np.stack([(y[i:j] * extra[i:j, None]).T @ y[i:j] for i, j in zip(starts[own], ends[own])])
+            lhs += gram + (reg * (ends - starts)[own])[:, None, None] * np.eye(rank)
+            solved += list(np.linalg.solve(lhs, rhs[own, :, None])[:, :, 0])
+        return result_frame({USER: list(mine[USER].to_numpy()[starts]), "factor": solved})
 
     def partial(pdf: pd.DataFrame) -> pd.DataFrame:
         lhs, rhs = sums(pdf)
@@ -184,8 +203,13 @@ def solve_factors(ratings: DataFrame, factors: DataFrame, alpha: float, reg: flo
         return solution(pdf[USER].iloc[0], int(pdf["n"].sum()), lhs, np.sum(np.stack(pdf["rhs"].to_numpy()), axis=0))
 
     solved = f"{USER} {user_type}, factor array<double>"
-    ordinary = known.join(busy, USER, "left_anti").groupBy(USER).applyInPandas(solve_whole, solved)
-    split = known.join(busy, USER).withColumn("part", F.pmod(F.xxhash64(ITEM), F.col("parts")))
+    blocks = max(1, -(-rated.count() // RATINGS_PER_TASK))
+    placed = rated.join(busy, USER, "left_anti").withColumn("ub", F.pmod(F.xxhash64(USER), F.lit(blocks)))
+    needed = placed.select("ub", ITEM).distinct().join(factors.select(ITEM, "factor"), ITEM)
+    ordinary = placed.groupBy("ub").cogroup(needed.select("ub", ITEM, "factor").toDF("_ub", "_item", "factor").groupBy("_ub")).applyInPandas(
+        solve_block, solved
+    )
+    split = rated.join(busy, USER).join(factors.select(ITEM, "factor"), ITEM).withColumn("part", F.pmod(F.xxhash64(ITEM), F.col("parts")))
     summed = f"{USER} {user_type}, part bigint, n bigint, lhs array<double>, rhs array<double>"
     pieces = split.select(USER, "part", ITEM, "rating", "factor").groupBy(USER, "part").applyInPandas(partial, summed)
     while most_parts > MERGE:

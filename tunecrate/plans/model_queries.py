@@ -254,7 +254,7 @@ def gbdt_hold_out_separable(v: View) -> DataFrame:
 
 @query("rf_separable", f"SELECT id, CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prob FROM ({_LEVELS})")
 def rf_separable(v: View) -> DataFrame:
-    """The forest at the reference's 100 trees of depth 10."""
+    """The forest at its default 100 trees of depth 10."""
     return click_models.rf_score(_separable(v), click_models.rf_train(_separable(v).select("label", "features")), ["id"])
 
 
