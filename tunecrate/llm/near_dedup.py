@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunecrate.llm import words
-from tunecrate.llm.storage import keyed, small_enough, stored
+from tunecrate.llm.storage import keyed, small_batches, small_enough, stored
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -341,7 +341,8 @@ def _rows_and_roots(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataF
 
 def _classed(docs: DataFrame, threshold: float) -> DataFrame:
     """(doc_id, _h, root): root is null for a row that shares its content with no other text's."""
-    rows, roots = _rows_and_roots(docs, threshold)
+    with small_batches(docs.sparkSession):
+        rows, roots = _rows_and_roots(docs, threshold)
     return rows.join(roots, "node", "left").select("doc_id", "_h", "node", F.coalesce("root", "node").alias("root"))
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunecrate.llm import token_ids
-from tunecrate.llm.storage import stored
+from tunecrate.llm.storage import small_batches, stored
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -157,4 +157,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Every document's pieces with their place in the packed sequences."""
-    return pack(stored(token_pieces(docs, doc_id, text, capacity=capacity), "pieces"), capacity)
+    with small_batches(docs.sparkSession):
+        pieces = stored(token_pieces(docs, doc_id, text, capacity=capacity), "pieces")
+    return pack(pieces, capacity)

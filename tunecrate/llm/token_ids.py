@@ -23,6 +23,7 @@ from tunecrate.llm import words
 
 SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
 CACHE_ENTRIES = 1_000_000
+RECENT = 50_000
 
 _CLASS = np.full(256, OTHER, np.uint8)
 _CLASS[words.IS_SPACE] = SPACE
@@ -55,14 +56,15 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.starts, self.sizes, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, np.uint32), 0
+        self.known, self.slots, self.recent = np.zeros(0, np.uint64), np.zeros(0, np.int32), {}
+        self.starts, self.sizes, self.flat = np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(1024, np.uint32)
+        self.count = self.used = 0
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _remember(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
-        count, base = len(self.slots), self.used
+        count, base = self.count, self.used
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         for name, need in (("starts", count + len(ids)), ("sizes", count + len(ids)), ("flat", base + len(flat))):
@@ -74,8 +76,23 @@ class Encoder:
         self.starts[count : count + len(ids)] = base + np.cumsum(sizes) - sizes
         self.sizes[count : count + len(ids)] = sizes
         self.flat[base : base + len(flat)] = flat
-        self.used = base + len(flat)
-        self.slots.update(zip(hashes.tolist(), range(count, count + len(ids))))
+        self.count, self.used = count + len(ids), base + len(flat)
+        self.recent.update(zip(hashes.tolist(), range(count, self.count)))
+        if len(self.recent) > RECENT:  # kept as sorted arrays, a tenth of a dictionary's memory
+            keys = np.concatenate([self.known, np.fromiter(self.recent.keys(), np.uint64, len(self.recent))])
+            slots = np.concatenate([self.slots, np.fromiter(self.recent.values(), np.int32, len(self.recent))])
+            order = np.argsort(keys)
+            self.known, self.slots, self.recent = keys[order], slots[order], {}
+
+    def _look_up(self, hashes: np.ndarray) -> np.ndarray:
+        """Slots of pre-tokens, -1 for new ones."""
+        slot = np.full(len(hashes), -1, np.int64)
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+            slot = np.where(self.known[at] == hashes, self.slots[at], slot)
+        rest = np.flatnonzero(slot < 0)
+        slot[rest] = [self.recent.get(h, -1) for h in hashes[rest].tolist()]
+        return slot
 
     def _spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of pre-tokens in order, which of them go to the library whole, and the bytes to hash."""
@@ -131,19 +148,18 @@ class Encoder:
             if whole.any():
                 hashes[whole] = words.span_hashes(data, a[whole], b[whole]) ^ _SALT
             distinct, at, place = np.unique(hashes, return_index=True, return_inverse=True)
-            if len(self.slots) + len(distinct) > CACHE_ENTRIES:
+            if self.count + len(distinct) > CACHE_ENTRIES:
                 self._clear()
-            known = [self.slots.get(h, -1) for h in distinct.tolist()]
-            slot = np.array(known, np.int64)
+            slot = self._look_up(distinct)
             new = np.flatnonzero(slot < 0)
             if len(new):
                 raw, raw_folded = data.tobytes(), folded.tobytes()
                 texts = [(raw if whole[i] else raw_folded)[a[i] : b[i]].decode() for i in at[new]]
-                slot[new] = np.arange(len(self.slots), len(self.slots) + len(new))
+                slot[new] = np.arange(self.count, self.count + len(new))
                 self._remember(distinct[new], self._library(texts))
             slot = slot[place]
-            sizes = self.sizes[slot]
-            ids = self.flat[np.repeat(self.starts[slot], sizes) + _ramp(sizes)]
+            sizes = self.sizes[slot].astype(np.int64)
+            ids = self.flat[np.repeat(self.starts[slot].astype(np.int64), sizes) + _ramp(sizes)]
             total = np.concatenate([[0], np.cumsum(sizes)])
             yield low, high, ids, total[np.searchsorted(a, offsets)]
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunecrate.llm import token_ids
-from tunecrate.llm.storage import keyed, shared_path, small_enough
+from tunecrate.llm.storage import keyed, shared_path, small_batches, small_enough
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -191,7 +191,8 @@ def write(
             yield _row(part, shard, names, sizes, held)
 
     rows = keyed(docs, doc_id, text).repartitionByRange(F.col("doc_id"), F.col("_h")).sortWithinPartitions("doc_id", "_h")
-    rows.select("doc_id", "text").mapInArrow(build, SCHEMA).write.option("compression", "zstd").parquet(path)
+    with small_batches(docs.sparkSession):
+        rows.select("doc_id", "text").mapInArrow(build, SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
