@@ -437,6 +437,14 @@ def test_tag_cosine(spark, t):
     assert {(r["a"], r["b"]): r["cos"] for r in got.collect()} == brute_tags(sets, t)
 
 
+def test_copies_are_written_out_on_demand(spark):
+    sets = {1: "abc", 2: "abc", 3: "abd", 4: "abd", 5: "xyz", 6: "xyz", 7: "q"}
+    tags = frame(spark, [(d, x) for d, v in sets.items() for x in v], "doc_id int, tag string")
+    pairs, groups = pair_similarity.tag_cosine(tags, 0.5), pair_similarity.copy_groups(tags, "doc_id", "tag")
+    got = sorted(tuple(r) for r in pair_similarity.similar_to(frame(spark, [(2,), (5,), (7,)], "doc_id int"), pairs, groups).collect())
+    assert got == [(2, 1, 1.0), (2, 3, pytest.approx(2 / 3)), (2, 4, pytest.approx(2 / 3)), (5, 6, 1.0)]
+
+
 @pytest.mark.parametrize("t", [0.1, 0.5])
 def test_tfidf_cosine(spark, t):
     rnd = random.Random(12)

@@ -24,7 +24,8 @@ RATINGS_PER_TASK = 20_000
 SYSTEM_CELLS = 1 << 22  # matrix entries solved at a time
 RATINGS_PER_BLOCK = 1_000_000
 HOT_BLOCK = 20000
-USER_BLOCK = 4096
+USER_BLOCK = 16384
+PRODUCT_ROWS = 256  # users of a block scored at a time
 
 
 @dataclass(frozen=True)
@@ -288,18 +289,21 @@ def _hot_lists(
             h = h.sort_values(ITEM, kind="stable")
             names, items = h["singer"].to_numpy(), h[ITEM].to_numpy()
             codes, matrix = pd.factorize(names)[0], np.stack(h["factor"].to_numpy())
-            for user, factor, gone in zip(u[USER], u["factor"], u["barred"]):
-                score = np.round(matrix @ np.asarray(factor), 9)
-                order = np.argsort(-score, kind="stable")
-                if gone is not None:
-                    order = order[~np.isin(items[order], gone)]
-                singer = pd.Series(codes[order])
-                order = order[(singer.groupby(singer).cumcount() < cap).to_numpy()]
-                order = order[:length]
-                out[USER] += [user] * len(order)
-                out[ITEM] += list(items[order])
-                out["singer"] += list(names[order])
-                out["score"] += list(score[order])
+            users_, barred_ = u[USER].to_numpy(), u["barred"].to_numpy()
+            for at in range(0, len(u), PRODUCT_ROWS):
+                scores = np.round(np.stack(u["factor"].to_numpy()[at : at + PRODUCT_ROWS]) @ matrix.T, 9)
+                orders = np.argsort(-scores, axis=1, kind="stable")
+                for row, (score, order) in enumerate(zip(scores, orders)):
+                    user, gone = users_[at + row], barred_[at + row]
+                    if gone is not None:
+                        order = order[~np.isin(items[order], gone)]
+                    singer = pd.Series(codes[order])
+                    order = order[(singer.groupby(singer).cumcount() < cap).to_numpy()]
+                    order = order[:length]
+                    out[USER] += [user] * len(order)
+                    out[ITEM] += list(items[order])
+                    out["singer"] += list(names[order])
+                    out["score"] += list(score[order])
         return result_frame(out)
 
     return (

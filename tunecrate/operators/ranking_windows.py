@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark prunes ``row_number() <= n`` before the shuffle up to this n
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-MAP_SIDE_LIMIT = 1000
 SPREAD = 64
 
 
+def _map_side_limit(df: DataFrame) -> int:
+    """Largest n up to which Spark prunes ``row_number() <= n`` before the shuffle."""
+    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
 def top_n(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank"
 ) -> DataFrame:
@@ -23,7 +25,7 @@ def top_n(
     ranking (no keys): rows are first split over ``SPREAD`` salts, each keeping its own
     first ``n``, so the last task sees ``SPREAD * n`` rows.
     """
-    if n > MAP_SIDE_LIMIT or not by:
+    if n > _map_side_limit(df) or not by:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)))
         inner = Window.partitionBy(*by, "_salt").orderBy(*order)
         df = (
@@ -97,11 +99,14 @@ def running_total(
     )
 
 
-def dense_ids(df: DataFrame, key: str, out: str, buckets: int = 1024) -> DataFrame:
-    """Distinct keys numbered 0..n-1 without a global sort or a driver-side dictionary."""
+def dense_ids(df: DataFrame, key: str, out: str, buckets: int = 1024, kind: str = "int") -> DataFrame:
+    """Distinct keys numbered 0..n-1 without a global sort or a driver-side dictionary.
+
+    ``kind``: ``bigint`` where more than 2^31 keys may come; the factor trainer takes ``int`` only.
+    """
     keys = df.select(key).distinct().withColumn("_b", F.pmod(F.xxhash64(key), F.lit(buckets)))
     numbered_keys = running_total(keys, [], "_b", [F.col(key)], F.lit(1), out)
-    return numbered_keys.select(key, (F.col(out) - 1).cast("int").alias(out))
+    return numbered_keys.select(key, (F.col(out) - 1).cast(kind).alias(out))
 
 
 def rank_cutoff(df: DataFrame, key: str, score: str, n: int) -> DataFrame:
