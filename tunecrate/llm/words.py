@@ -6,6 +6,7 @@ the functions serve ``mapInArrow`` bodies, which see one bounded batch at a time
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +56,16 @@ class Powers:
         return cls.up, cls.down
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system: Python workers live long and share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def filled(column: pa.Array) -> pa.Array:
     """Texts with null as the empty text."""
     if pa.types.is_null(column.type):
@@ -80,6 +91,7 @@ def byte_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int
         high = min(max(high, low + 1), n)
         yield low, high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
+    release_memory()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
