@@ -401,6 +401,44 @@ def test_gear_cuts_depend_on_nearby_bytes():
     assert {c for c in own if c > 100} == {c for c in later if c > 100}
 
 
+def cyrillic(r, n):
+    return " ".join("".join(r.choice("абвгдежзийклмнопрстуфхцчшщыьэюя") for _ in range(r.randint(3, 9))) for _ in range(n))
+
+
+def han(r, n):
+    return "".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(2 * n))
+
+
+@pytest.mark.parametrize("script", [cyrillic, han])
+def test_passages_of_other_scripts_are_cut_alike(script):
+    found, r = 0, random.Random(3)
+    for _ in range(100):
+        passage, seen = script(r, 51), []
+        for _ in range(2):
+            data = np.frombuffer(" ".join([script(r, r.randint(20, 90)), passage, script(r, 40)]).encode(), np.uint8)
+            offsets = np.array([0, len(data)])
+            ends = np.concatenate([[0], substring_dedup.cuts(data, offsets)])
+            text = data.tobytes()
+            seen.append(([text[a:b] for a, b in zip(ends[:-1], ends[1:])], np.diff(substring_dedup.words_before(data, offsets, ends))))
+        run = best = 0
+        for chunk, n in zip(*seen[1]):
+            run = run + n if chunk in set(seen[0][0]) else 0
+            best = max(best, run)
+        found += best >= substring_dedup.MIN_WORDS
+    assert found >= 98
+
+
+@pytest.mark.parametrize("script", [cyrillic, han])
+def test_repeated_passages_of_other_scripts(spark, script):
+    r = random.Random(4)
+    passage = script(r, 51)
+    texts = [(i, " ".join([script(r, 30 + i), passage, script(r, 40)])) for i in (1, 2)] + [(3, script(r, 150))]
+    found = substring_dedup.repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert [(x["doc_id"], x["first_doc_id"]) for x in found] == [(2, 1)]
+    span = texts[1][1].encode()[found[0]["start"] : found[0]["end"]].decode()
+    assert span in " " + passage + " " and found[0]["n_words"] >= substring_dedup.MIN_WORDS
+
+
 def test_repeated_passages(docs, none):
     found = substring_dedup.repeats(docs).collect()
     firsts = defaultdict(set)

@@ -1,7 +1,8 @@
 """Repeated passages by content-defined chunking with a gear rolling hash.
 
 A gear hash sums a random value per byte, shifted by its distance, over the last 32 bytes. A
-chunk ends where the hash's low bits are zero and no such place lies within the ``least``
+chunk ends after a character where the hash's top four bits are below the character's size in
+bytes (one place in 16 bytes, whatever the script) and no such place lies within the ``least``
 bytes before; both depend on nearby bytes alone, so an insertion moves only the cuts around
 it and a repeated passage is cut alike wherever it stands. ``most`` bytes without a cut force
 one, counted from the last cut.
@@ -16,7 +17,8 @@ one, counted from the last cut.
 
 Defined cases: null and empty texts have no chunks; rows of equal id are one document, whose
 texts do not repeat each other, and so are all rows with a null id, which comes first; extra columns are ignored by ``repeats`` and kept by ``without_repeats``; an empty table
-gives none. Spans count bytes of the UTF-8 text, cut at characters.
+gives none. Spans count bytes of the UTF-8 text, cut at characters. Chinese and Japanese write
+no spaces: two Han or kana characters count as a word.
 """
 
 from __future__ import annotations
@@ -56,8 +58,14 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Ends of all chunks, ascending; every text's end is one."""
     # the top bits of the hash depend on all 32 bytes of the window
-    marked = gear_hashes(data) >> np.uint32(32 - MASK_BITS) == 0
-    marked &= (data & 0xC0) < 0x80  # after a whole ASCII character
+    inner = (data & 0xC0) == 0x80
+    size = np.ones(len(data), np.uint8)  # bytes of the character up to here: a place per 16 bytes in every script
+    before = inner
+    for distance in (1, 2, 3):
+        size += before
+        before = before & np.concatenate([np.zeros(min(distance, len(data)), bool), inner[:-distance]])
+    marked = (gear_hashes(data) >> np.uint32(32 - MASK_BITS)).astype(np.uint8) < size
+    marked[:-1] &= ~inner[1:]  # after a whole character
     at = np.flatnonzero(marked) + 1
     text = np.searchsorted(offsets, at, side="left")
     alone = np.ones(len(at), bool)
@@ -75,6 +83,16 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return ends
 
 
+def words_before(data: np.ndarray, offsets: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Number of words that start before each place; two Han or kana characters are one, counted by their first bytes."""
+    starts, _, _ = words.word_spans(data, offsets)
+    han = (data >= 0xE3) & (data <= 0xE9)  # U+3000 to U+9FFF
+    if not han.any():
+        return np.searchsorted(starts, places)
+    han[:-1] &= (data[:-1] > 0xE3) | (data[1:] > 0x80)  # the signs U+3000 to U+303F are no letters
+    return np.searchsorted(starts[~han[starts]], places) + np.searchsorted(np.flatnonzero(han), places) // 2
+
+
 def chunks(docs: DataFrame) -> DataFrame:
     """(doc_id, _h, mark, digest) of keyed ``docs``; a mark is a chunk's start, size and number of words in one long."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -87,8 +105,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                     continue
                 starts = np.concatenate([[0], ends[:-1]])
                 text = np.searchsorted(offsets, ends, side="left") - 1
-                word_starts, _, _ = words.word_spans(data, offsets)
-                n_words = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts)
+                n_words = np.diff(words_before(data, offsets, np.concatenate([[0], ends])))
                 digests = words.span_hashes(data, starts, ends)
                 rows = pa.array(text)
                 marks = (starts - offsets[text] << PLACE) + (ends - starts << SIZE) + n_words
