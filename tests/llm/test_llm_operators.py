@@ -401,6 +401,17 @@ def test_gear_cuts_depend_on_nearby_bytes():
     assert {c for c in own if c > 100} == {c for c in later if c > 100}
 
 
+@pytest.mark.parametrize("letter,n", [("語", 342), ("語", 683), ("é", 513), ("😀", 257), ("x", 1025), ("é", 5000)])
+def test_forced_cuts_stand_between_characters(letter, n):
+    for text in (letter * n, "a" + letter * n, "ab" + letter * n):
+        data = np.frombuffer(text.encode(), np.uint8)
+        ends = [0, *substring_dedup.cuts(data, np.array([0, len(data)])).tolist()]
+        assert "".join(data[a:b].tobytes().decode() for a, b in zip(ends, ends[1:])) == text
+        assert max(b - a for a, b in zip(ends, ends[1:])) <= substring_dedup.MOST + 3
+    ends = substring_dedup.cuts(np.frombuffer(b"\x80" * 3000, np.uint8), np.array([0, 3000]))  # no character starts at all
+    assert ends[-1] == 3000 and (np.diff(ends) > 0).all()
+
+
 def cyrillic(r, n):
     return " ".join("".join(r.choice("абвгдежзийклмнопрстуфхцчшщыьэюя") for _ in range(r.randint(3, 9))) for _ in range(n))
 

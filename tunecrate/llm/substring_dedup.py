@@ -5,7 +5,7 @@ chunk ends after a character where the hash's top four bits are below the charac
 bytes (one place in 16 bytes, whatever the script) and no such place lies within the ``least``
 bytes before; both depend on nearby bytes alone, so an insertion moves only the cuts around
 it and a repeated passage is cut alike wherever it stands. ``most`` bytes without a cut force
-one, counted from the last cut.
+one, counted from the last cut and moved back to a character's start.
 
 1. One pass cuts whole texts; a chunk is (document, place, digest).
 2. Digests are counted with map-side sums: hot digests never meet in one task. Those that
@@ -77,8 +77,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     long = np.flatnonzero(ends - starts > MOST)
     if len(long):
         forced = np.concatenate([np.arange(starts[i] + MOST, ends[i], MOST) for i in long])
-        while (shift := (data[forced] & 0xC0) == 0x80).any():  # never inside a character
-            forced[shift] += 1
+        for _ in range(3):  # back to the first byte of a character, which has four bytes at most
+            forced -= (data[forced] & 0xC0) == 0x80
         ends = np.unique(np.concatenate([ends, forced]))
     return ends
 
