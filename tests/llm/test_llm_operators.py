@@ -97,6 +97,29 @@ def test_compression_bands(docs, none):
     assert quality_rules.compression_bands(none).count() == quality_rules.keep_compressible(none).count() == 0
 
 
+@pytest.mark.parametrize("n", [1000, 1500, 2047, 2048])
+def test_a_short_rest_is_judged(spark, n):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    junk = "".join(random.Random(5).choice(letters) for _ in range(n))
+    head = LONG.encode()[:4096].decode(errors="ignore")
+    head += "." * (4096 - len(head.encode()))
+    texts = [(1, head + junk), (3, head)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in quality_rules.compression_bands(docs).collect()}
+    whole = next(b for b in quality_rules.Limits().bands if 4096 + n < b[0])
+    assert whole[1] <= found[1]["ratio"] <= whole[2] and not found[1]["base_failed"]
+    assert not found[1]["kept"] and found[3]["kept"]
+    assert [r["doc_id"] for r in quality_rules.keep_compressible(docs).collect()] == [3]
+
+
+def test_short_rests_of_good_texts_pass():
+    press, limits = zstandard.ZstdCompressor(level=3), quality_rules.Limits()
+    raw = LONG.encode()
+    for n in (1, 50, 199, 200, 999, 1000, 2047):
+        assert quality_rules._chunks_outside(raw[: 4096 + n], press, limits) == (1, 0, 1, 0)
+    assert quality_rules._chunks_outside(raw[:2047], press, limits) == (0, 0, 0, 0)
+
+
 def brute_secrets(text):
     text = text or ""
     found = []

@@ -7,7 +7,8 @@ its own band. Every row is judged alone: no shuffle, no state.
 Defined cases: a null or empty text has no words and fails the base test; repeated rows and
 ties are judged alike; extra columns, whatever their names, pass through
 ``keep_compressible`` untouched and do not enter ``compression_bands``; an empty table gives
-an empty table. A text of any length is read whole.
+an empty table. A text of any length is read whole: a rest under half a chunk is no chunk in
+``n_chunks`` and ``n_bad_chunks``, but counts as one in ``kept``.
 """
 
 from __future__ import annotations
@@ -74,13 +75,19 @@ def _repeat_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return counts, words.sums_between(np.cumsum(edges)[: len(starts)] > 0, word_offsets)
 
 
-def _chunks_outside(text: bytes, press: zstandard.ZstdCompressor, limits: Limits) -> tuple[int, int]:
-    """Chunks of fixed size, and those outside the chunk band. A rest under half a chunk is left to the whole ratio."""
+def _chunks_outside(text: bytes, press: zstandard.ZstdCompressor, limits: Limits) -> tuple[int, int, int, int]:
+    """Chunks of fixed size, those outside the chunk band, and the same two numbers of the rest under half a chunk.
+
+    The chunk band is too narrow for a short rest: behind other chunks it has the band of a text of its length.
+    """
     size, (low, high) = limits.chunk_bytes, limits.chunk_band
     parts = [text[i : i + size] for i in range(0, len(text), size)]
-    parts = [p for p in parts if 2 * len(p) >= size]
+    rest = parts.pop() if parts and 2 * len(parts[-1]) < size else b""
     bad = sum(not low <= len(p) / len(press.compress(p)) <= high for p in parts)
-    return len(parts), bad
+    if not parts or not rest:
+        return len(parts), bad, 0, 0
+    low, high = next(b[1:] for b in limits.bands if len(rest) < b[0])
+    return len(parts), bad, 1, int(not low <= len(rest) / len(press.compress(rest)) <= high)
 
 
 def measures(column: pa.Array, limits: Limits) -> dict[str, np.ndarray]:
@@ -96,12 +103,13 @@ def measures(column: pa.Array, limits: Limits) -> dict[str, np.ndarray]:
         texts = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
         sizes = np.diff(offsets)
         ratio = np.array([len(t) / len(press.compress(t)) if t else 0.0 for t in texts])
-        chunks = np.array([_chunks_outside(t, press, limits) for t in texts], np.int64).reshape(-1, 2)
+        chunks = np.array([_chunks_outside(t, press, limits) for t in texts], np.int64).reshape(-1, 4)
         band = np.searchsorted(bounds, sizes, side="right")
         least = np.array([b[1] for b in limits.bands])[band]
         most = np.array([b[2] for b in limits.bands])[band]
         failed = (n_words < limits.min_words) | (100 * n_repeat > limits.repeat_percent * n_words)
-        inside = (ratio >= least) & (ratio <= most) & (chunks[:, 1] <= limits.bad_chunk_share * chunks[:, 0])
+        judged, outside = chunks[:, 0] + chunks[:, 2], chunks[:, 1] + chunks[:, 3]
+        inside = (ratio >= least) & (ratio <= most) & (outside <= limits.bad_chunk_share * judged)
         parts.append(
             {
                 "n_words": n_words, "word_chars": words.sums_between(visible, offsets),
