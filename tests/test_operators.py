@@ -372,6 +372,31 @@ def test_walk_equals_matrix_power(spark):
         assert mine == {x: pytest.approx(p[names.index(x)], abs=1e-8) for x in "abcd" if x != root}
 
 
+def test_walk_of_all_items_starts_from_each(spark, tmp_path):
+    from tunecrate.plans.vector_queries import walk_all
+    from tunecrate.plans.views import View
+
+    r = np.random.default_rng(5)
+    bought = sorted({(int(u), int(x)) for u, x in zip(r.integers(1, 8, 60), r.integers(1, 24, 60))})
+    lines = [(n, x, float(r.integers(1, 50))) for n, (_, x) in enumerate(bought)]
+    frame(spark, lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    frame(spark, [(n, u, None) for n, (u, _) in enumerate(bought)], "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    names = sorted({f"u{u}" for u, _ in bought} | {f"i{x}" for _, x in bought})
+    m = np.zeros((len(names),) * 2)
+    for (u, x), (_, _, w) in zip(bought, lines):
+        a, b = names.index(f"u{u}"), names.index(f"i{x}")
+        m[a, b] = m[b, a] = w
+    m /= m.sum(axis=0)
+    mass = 0.15 * np.eye(len(names))
+    for _ in range(100):
+        mass = 0.85 * m @ mass + 0.15 * np.eye(len(names))
+    items = [x for x in names if x[0] == "i"]
+    found = {(x["root"], x["item_id"]): x["score"] for x in walk_all(View(spark, str(tmp_path))).collect()}
+    expected = {(a, b): mass[names.index(b), names.index(a)] for a in items for b in items if a != b}
+    expected = {k: p for k, p in expected.items() if p > 0}
+    assert len(items) > 16 and found == {k: pytest.approx(p, abs=1e-8) for k, p in expected.items()}
+
+
 # --- similarity ------------------------------------------------------------------------
 
 

@@ -396,12 +396,21 @@ WALK_ROUNDS = 101
      "SELECT root, item_id, score", 1),
 )
 def walk(v: View) -> DataFrame:
-    """Roots: the item with most players of each type."""
+    """Roots: the item with most players of each type; SQL walks from these only."""
+    players = v.plays.groupBy("item_id").agg(F.count("*").alias("n")).join(v.item_tag, "item_id")
+    return _walk(v, recall.topn_per_key(players, "tag", "n", "item_id", 1))
+
+
+@query("personal_walk_all")
+def walk_all(v: View) -> DataFrame:
+    """The whole job: every played item is a root. Too much for a recursive SQL twin; ``personal_walk`` has one."""
+    return _walk(v, v.plays.select("item_id").distinct())
+
+
+def _walk(v: View, roots: DataFrame) -> DataFrame:
     u, i = F.concat(F.lit("u"), F.col("user_id").cast("string")), F.concat(F.lit("i"), F.col("item_id").cast("string"))
     edges = v.plays.select(u.alias("src"), i.alias("dst"), F.col("dur").alias("w")).unionByName(
         v.plays.select(i.alias("src"), u.alias("dst"), F.col("dur").alias("w"))
     )
-    players = v.plays.groupBy("item_id").agg(F.count("*").alias("n")).join(v.item_tag, "item_id")
-    roots = recall.topn_per_key(players, "tag", "n", "item_id", 1).select(i.alias("root"))
     items = v.plays.select(i.alias("item_id")).distinct()
-    return personal_walk(edges, roots, items, rounds=WALK_ROUNDS).select("root", "item_id", "score")
+    return personal_walk(edges, roots.select(i.alias("root")), items, rounds=WALK_ROUNDS).select("root", "item_id", "score")
