@@ -41,6 +41,13 @@ class Rule:
 
 BASE = ("assign", "access", "hex")
 
+#: From a private key's BEGIN line to its END line, or where END is missing, over the base64 lines that follow. No part
+#: may repeat a group without a small bound: Java matches groups by recursion.
+_KEY_BODY = (
+    r"(?:[^-]*(?:-[^-]+){0,8}-----END [A-Z ]*PRIVATE KEY-----"
+    r"|[A-Za-z0-9+/=\\\r\n]*(?:[\x20\t\r\n]+[A-Za-z0-9+/=\\]{16,}){0,60})"
+)
+
 #: Production rules. A run of hex digits is matched from 16 on: greedy runs make that the same as matching
 #: every run and dropping short ones. Failing matches of ``assign`` still use up their text.
 RULES = (
@@ -51,7 +58,7 @@ RULES = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----" + _KEY_BODY),
 )
 
 SPANS = "array<struct<start:int,kind:int,end:int,size:int>>"
