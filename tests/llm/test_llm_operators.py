@@ -578,3 +578,18 @@ def test_line_crf(spark, docs, none):
     assert line_crf.scored(none, model).count() == 0
     blank = line_crf.train(table, spark.createDataFrame([], "doc_id bigint, quality int"))
     assert all(r["score"] == pytest.approx(0.5) for r in line_crf.scored(table, blank).collect())
+
+
+def test_long_documents_teach_the_line_crf(spark):
+    r = random.Random(8)
+    good = lambda: " ".join(r.choice(WORDS) for _ in range(9)) + "."
+    bad = lambda: "$$ BUY NOW!!! " * 3
+    texts = [(i, "\n".join((good if i % 2 else bad)() for _ in range(230))) for i in range(24)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, float(i % 2)) for i in range(24)], "doc_id long, quality double")
+    model = line_crf.train(docs, labels)
+    assert model is not line_crf.UNKNOWN
+    scores = {x["doc_id"]: x["score"] for x in line_crf.scored(docs, model).collect()}
+    assert min(s for i, s in scores.items() if i % 2) > 0.9 and max(s for i, s in scores.items() if i % 2 == 0) < 0.1
+    short = line_crf.train(docs, labels, sample_docs=8, sample_lines=5)
+    assert np.isfinite(short.weights).all() and short is not line_crf.UNKNOWN

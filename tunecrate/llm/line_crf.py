@@ -5,8 +5,10 @@ chain's transitions tie neighbouring labels. Forward-backward gives each line's
 being good, and a document's score is their mean weighted by line length.
 
 Training: labelled documents of the training folds, all of whose lines take the document's
-label, at most ``SAMPLE_DOCS`` of them (smallest hash of the id) with at most
-``SAMPLE_LINES`` lines each: the only bounded sample here. The line measures are made by
+label, at most ``sample_docs`` of them (smallest hash of the id) with at most
+``sample_lines`` lines each: the only bounded sample here. A longer document gives a block of
+consecutive lines, from a place that follows from its text's hash, with the measures that they
+have in the whole text. The line measures are made by
 Spark tasks; the fit (some 60 weights, full-batch Adam on the exact likelihood) runs on them
 on the driver. Scoring reads every whole text where it lies.
 
@@ -204,18 +206,24 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """A model from the training folds' labelled documents."""
+def train(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
+    sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES,
+) -> Model:
+    """A model from the training folds' labelled documents, ``sample_docs`` at most with ``sample_lines`` lines each."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_label")).where("_id IS NOT NULL AND _label IS NOT NULL")
     known = known.where(~held_out("_id")).groupBy("_id").agg((F.avg("_label") >= 0.5).cast("int").alias("_label"))
-    sample = known.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)  # bounded: a parameter
+    sample = known.orderBy(F.xxhash64("_id"), "_id").limit(sample_docs)  # bounded: a parameter
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column(0).to_pylist()
             for low, high, data, offsets in words.byte_slices(words.filled(batch.column(1))):
                 features, _, line_offsets = line_features(data, offsets)
-                rows = [(marks[low + i], a, b) for i, (a, b) in enumerate(zip(line_offsets[:-1], line_offsets[1:])) if b - a <= SAMPLE_LINES]
+                first, n_lines = line_offsets[:-1], np.diff(line_offsets)
+                spare = np.maximum(n_lines - sample_lines, 0)
+                first = first + (words.span_hashes(data, offsets[:-1], offsets[1:]) % (spare + 1).astype(np.uint64)).astype(np.int64)
+                rows = [(marks[low + i], a, a + n) for i, (a, n) in enumerate(zip(first, np.minimum(n_lines, sample_lines)))]
                 yield pa.RecordBatch.from_pydict({
                     "label": pa.array([r[0] for r in rows], pa.int32()),
                     "lines": pa.array([features[a:b].astype("<f4").tobytes() for _, a, b in rows], pa.binary()),
