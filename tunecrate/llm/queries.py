@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tunecrate.llm import decontaminate, line_crf, near_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, url_filter, wavelet_store
+from tunecrate.llm import (
+    cube_mix, decontaminate, lexical_search, line_crf, near_dedup, packing, quality_rules, secret_scan, sharding, spelling, substring_dedup,
+    url_filter, wavelet_store,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -195,6 +198,75 @@ def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.scored(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op11_cube_mix")
+def op11_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cube_mix.mixed(table(spark, sf_dir, "documents"))
+
+
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# CRC-32 bit by bit over the UTF-8 bytes of '<doc_id>:<run>'; a pair of near words shares a gap or is a deletion.
+SPELLING_SQL = rf"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all({LOWERED}, '[a-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS bytes FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, length(bytes) // 2), lambda i: ('0x' || bytes[2 * i + 1:2 * i + 2])::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+  FROM counted),
+typed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN run[1:(h % length(run))::BIGINT] || run[(h % length(run))::BIGINT + 2:] ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+gaps AS (SELECT word, n, i, word[1:i] AS x, word[i + 2:] AS y FROM (SELECT *, unnest(range(0, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.i = b.i AND a.x = b.x AND a.y = b.y AND a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.x || g.y
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.x || g.y),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.root WHERE f.form IS NOT NULL),
+roots AS (SELECT s.word, s.root FROM steps s JOIN forms f ON f.word = s.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+
+@query("op12_permuterm", SPELLING_SQL)
+def op12_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.document_words(table(spark, sf_dir, "documents"))
+
+
+TERMS = rf"regexp_extract_all({LOWERED}, '[^ -/:-@[-`{-]+')"
+
+SEARCH_SQL = f"""
+WITH doc_terms AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
+item_terms AS (SELECT item_id, unnest({TERMS}) AS term FROM benchmark),
+q AS (SELECT item_id, term, count(*) AS qtf FROM item_terms GROUP BY ALL),
+sizes AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM doc_terms WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS all_terms FROM sizes),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM doc_terms) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+impacts AS (
+  SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // all_terms)) AS impact FROM tf JOIN sizes USING (r), total),
+scores AS (
+  SELECT item_id, r, doc_id, sum(qtf * w * impact)::BIGINT AS score FROM q JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
+@query("op13_dual_tree", SEARCH_SQL)
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

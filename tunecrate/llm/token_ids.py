@@ -5,7 +5,9 @@ ASCII and Latin-1 letters, digits, punctuation and spaces the split is known, so
 here on bytes, and the library encodes each distinct pre-token once per worker. Words with
 anything else (apostrophes, other scripts, combining marks, control characters) go to the
 library whole; a text with white space outside ASCII, in the style that keeps white space,
-goes to it whole. The ids are the library's in every case.
+goes to it whole. A known pre-token is found by one 64-bit hash and must agree in a second
+(SipHash) before its ids are used; else the library encodes it anew. Strings of special tokens
+in a text are ordinary text, as the description of the tokenizer files sets it.
 """
 
 from __future__ import annotations
@@ -58,16 +60,17 @@ class Encoder:
     def _clear(self) -> None:
         self.known, self.slots, self.recent = np.zeros(0, np.uint64), np.zeros(0, np.int32), {}
         self.starts, self.sizes, self.flat = np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(1024, np.uint32)
+        self.marks = np.zeros(1024, np.int64)
         self.count = self.used = 0
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _remember(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
+    def _remember(self, hashes: np.ndarray, marks: np.ndarray, ids: list[list[int]]) -> None:
         count, base = self.count, self.used
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        for name, need in (("starts", count + len(ids)), ("sizes", count + len(ids)), ("flat", base + len(flat))):
+        for name, need in (("starts", count + len(ids)), ("sizes", count + len(ids)), ("marks", count + len(ids)), ("flat", base + len(flat))):
             old = getattr(self, name)
             if need > len(old):
                 grown = np.zeros(2 * need, old.dtype)
@@ -75,6 +78,7 @@ class Encoder:
                 setattr(self, name, grown)
         self.starts[count : count + len(ids)] = base + np.cumsum(sizes) - sizes
         self.sizes[count : count + len(ids)] = sizes
+        self.marks[count : count + len(ids)] = marks
         self.flat[base : base + len(flat)] = flat
         self.count, self.used = count + len(ids), base + len(flat)
         self.recent.update(zip(hashes.tolist(), range(count, self.count)))
@@ -151,12 +155,14 @@ class Encoder:
             if self.count + len(distinct) > CACHE_ENTRIES:
                 self._clear()
             slot = self._look_up(distinct)
+            raw, raw_folded = data.tobytes(), folded.tobytes()
+            names = [(raw if w else raw_folded)[x:y] for w, x, y in zip(whole[at].tolist(), a[at].tolist(), b[at].tolist())]
+            marks = np.fromiter(map(hash, names), np.int64, len(names))
+            slot[self.marks[slot] != marks] = -1
             new = np.flatnonzero(slot < 0)
             if len(new):
-                raw, raw_folded = data.tobytes(), folded.tobytes()
-                texts = [(raw if whole[i] else raw_folded)[a[i] : b[i]].decode() for i in at[new]]
                 slot[new] = np.arange(self.count, self.count + len(new))
-                self._remember(distinct[new], self._library(texts))
+                self._remember(distinct[new], marks[new], self._library([names[i].decode() for i in new]))
             slot = slot[place]
             sizes = self.sizes[slot].astype(np.int64)
             ids = self.flat[np.repeat(self.starts[slot].astype(np.int64), sizes) + _ramp(sizes)]

@@ -7,6 +7,7 @@ the functions serve ``mapInArrow`` bodies, which see one bounded batch at a time
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+SHORT = 64
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -94,9 +96,12 @@ def byte_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int
     release_memory()
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and for each text the number of words before it (one more entry at the end)."""
-    space = IS_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, and for each text the number of words before it (one more entry at the end).
+
+    ``between``: which of the 256 bytes part words.
+    """
+    space = between[data]
     begins, ends = ~space, ~space
     if len(data):
         begins[1:] &= space[:-1]
@@ -110,11 +115,22 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; equal bytes give equal hashes wherever they stand."""
+    """64-bit hash of each byte span; equal bytes give equal hashes wherever they stand.
+
+    Spans of up to ``SHORT`` bytes: a polynomial modulo 2^64. Longer ones can be built to collide
+    in it whatever its base (Thue-Morse words of 1,024 bytes do), so they get their own digest.
+    """
     up, down = Powers.upto(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_CODE[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
+    sizes = ends - starts
+    out = mix((total[ends] - total[starts]) * down[starts] + sizes.astype(np.uint64) * _STEP)
+    long = np.flatnonzero(sizes > SHORT)
+    if len(long):
+        raw = data.tobytes()
+        digests = (hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(starts[long].tolist(), ends[long].tolist()))
+        out[long] = np.frombuffer(b"".join(digests), "<u8")
+    return out
 
 
 def shingle_hashes(hashes: np.ndarray, word_offsets: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
