@@ -241,7 +241,7 @@ def op12_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.document_words(table(spark, sf_dir, "documents"))
 
 
-TERMS = rf"regexp_extract_all({LOWERED}, '[^ -/:-@[-`{-]+')"
+TERMS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 SEARCH_SQL = f"""
 WITH doc_terms AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
