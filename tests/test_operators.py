@@ -350,7 +350,8 @@ def test_cf_recommend_equals_the_greedy_walk(spark, monkeypatch, block):
         assert lists_[u] == want
 
 
-def test_walk_equals_matrix_power(spark):
+@pytest.mark.parametrize("plan", [{}, {"local_edges": 3, "node_block": 2}, {"local_nodes": 2, "node_block": 3, "checkpoint_every": 2}])
+def test_walk_equals_matrix_power(spark, plan):
     rows = [("A", "a", 2.0), ("A", "b", 1.0), ("B", "b", 3.0), ("B", "c", 1.0), ("C", "c", 1.0), ("C", "d", 2.0), ("A", "d", 0.5)]
     both = rows + [(b, a, w) for a, b, w in rows]
     names = sorted({x for a, b, _ in both for x in (a, b)})
@@ -360,7 +361,7 @@ def test_walk_equals_matrix_power(spark):
     m /= m.sum(axis=0)
     got = walk.personal_walk(
         frame(spark, both, "src string, dst string, w double"), frame(spark, [("a",), ("c",)], "root string"),
-        frame(spark, [(x,) for x in "abcd"], "item_id string"), rounds=12, checkpoint_every=5,
+        frame(spark, [(x,) for x in "abcd"], "item_id string"), rounds=12, **plan,
     ).collect()
     for root in ("a", "c"):
         r = np.zeros(len(names))

@@ -375,42 +375,70 @@ def cf_recommend(v: View) -> DataFrame:
     return out.select("user_id", "item_id", "score", "rank", "tag")
 
 
-_ROOTS = (
-    "SELECT 'i' || item_id AS root FROM (SELECT item_id, ROW_NUMBER() OVER (PARTITION BY tag ORDER BY n DESC, item_id) AS r FROM item_tag "
-    "JOIN (SELECT item_id, COUNT(*) AS n FROM plays GROUP BY 1) USING (item_id)) WHERE r = 1"
-)
+def _dense(rows: str, value: str) -> str:
+    """SQL: one list per row index of ``value`` over all column indexes."""
+    return f"SELECT i, list({value} ORDER BY j) AS r FROM {rows} GROUP BY i"
+
+
+def _walk_sql(rounds: int) -> str:
+    """Scores of every (root, item) pair after ``rounds`` steps, as dense symmetric matrices over items.
+
+    Item to item takes two steps, so p = 0.15 (I + A + A^2 + ..) with A = 0.85^2 W / W(i) W' / W(u), scaled by the
+    square roots of the item weights to a symmetric B. S(m), the sum of m powers, is built by the bits of the
+    number of terms: S(m+1) = I + B S(m), B^m = I + B S(m) - S(m), S(2m) = S(m) + B^m S(m).
+    """
+    ctes = [
+        ("of_item", "SELECT item_id, SUM(dur) AS t, ROW_NUMBER() OVER (ORDER BY item_id) AS i FROM plays GROUP BY 1"),
+        ("of_user", "SELECT user_id, SUM(dur) AS t FROM plays GROUP BY 1"),
+        ("met", "SELECT x.i, y.i AS j, 0.85::DOUBLE * 0.85 * SUM(a.dur * b.dur / u.t) / SQRT(ANY_VALUE(x.t) * ANY_VALUE(y.t)) AS b FROM plays a "
+         "JOIN plays b USING (user_id) JOIN of_user u USING (user_id) JOIN of_item x ON x.item_id = a.item_id JOIN of_item y ON y.item_id = b.item_id GROUP BY 1, 2"),
+        ("b", _dense("(SELECT x.i, y.i AS j, COALESCE(b, 0) AS b FROM of_item x CROSS JOIN of_item y LEFT JOIN met ON met.i = x.i AND met.j = y.i)", "b")),
+        ("s0", _dense("(SELECT x.i, y.i AS j FROM of_item x CROSS JOIN of_item y)", "CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0 END")),
+    ]
+    at = "s0"
+
+    def product(name: str, x: str, y: str, value: str) -> None:
+        # slices of the left rows: branches of a union run at the same time
+        rows = f"SELECT x.i AS i, list({value} ORDER BY y.i) AS r FROM {x} CROSS JOIN {y} y WHERE x.i % 8 = "
+        ctes.append((name, " UNION ALL ".join(f"{rows}{k} GROUP BY x.i" for k in range(8))))
+
+    one = "CASE WHEN x.i = y.i THEN 1.0::DOUBLE ELSE 0 END"
+    for n, bit in enumerate(bin((rounds - 1) // 2 + 1)[3:], 1):
+        product(f"t{n}", "b x", at, "list_dot_product(x.r, y.r)")
+        power = "list_transform(range(1, len(x.r) + 1), lambda k: t.r[k] - x.r[k] + (k = x.i)::INT)"
+        ctes.append((f"p{n}", f"SELECT x.i AS i, {power} AS r FROM {at} x JOIN t{n} t ON t.i = x.i"))
+        product(f"d{n}", f"p{n} x JOIN {at} s ON s.i = x.i", at, "s.r[y.i] + list_dot_product(x.r, y.r)")
+        at = f"d{n}"
+        if bit == "1":
+            product(f"s{n}", "b x", at, f"{one} + list_dot_product(x.r, y.r)")
+            at = f"s{n}"
+    final = (
+        "SELECT root, item_id, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY root ORDER BY score DESC, item_id) AS rank FROM "
+        "(SELECT 'i' || x.item_id AS root, 'i' || y.item_id AS item_id, ROUND(0.15 * s.r[y.i] * SQRT(y.t / x.t), 9) AS score "
+        f"FROM {at} s JOIN of_item x ON x.i = s.i CROSS JOIN of_item y WHERE x.i <> y.i AND s.r[y.i] > 0)) WHERE rank <= 100"
+    )
+    return with_views(["plays"], final, ctes, keep=True)
+
+
 WALK_ROUNDS = 101
 
 
-@query(
-    "personal_walk",
-    with_views(["plays", "item_tag"], "SELECT root, item_id, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY root ORDER BY score DESC, item_id) AS rank FROM "
-    "(SELECT root, node AS item_id, ROUND(p, 9) AS score FROM (SELECT root, node, SUM(p) AS p FROM walk WHERE round = " + str(WALK_ROUNDS) + " GROUP BY 1, 2) "
-    "WHERE node LIKE 'i%' AND node <> root)) WHERE rank <= 100",
-    [("edges", "SELECT 'u' || user_id AS src, 'i' || item_id AS dst, dur AS w FROM plays UNION ALL SELECT 'i' || item_id, 'u' || user_id, dur FROM plays"),
-     ("step", "SELECT e.src, dst, 0.85::DOUBLE * w / t AS m FROM edges e JOIN (SELECT src, SUM(w) AS t FROM edges GROUP BY 1) s ON s.src = e.src"),
-     ("roots", _ROOTS)]).replace("WITH ", "WITH RECURSIVE ", 1).replace(
-     " SELECT root, item_id, score", ", walk AS (SELECT 1 AS round, root, root AS node, 0.15::DOUBLE AS p FROM roots UNION ALL "
-     "SELECT round, root, node, SUM(p) AS p FROM (SELECT w.round + 1 AS round, w.root, s.dst AS node, SUM(w.p * s.m) AS p FROM walk w JOIN step s ON s.src = w.node "
-     f"WHERE w.round < {WALK_ROUNDS} GROUP BY 1, 2, 3 UNION ALL SELECT DISTINCT w.round + 1, w.root, w.root, 0.15::DOUBLE FROM walk w WHERE w.round < {WALK_ROUNDS}) GROUP BY 1, 2, 3) "
-     "SELECT root, item_id, score", 1),
-)
+@query("personal_walk", _walk_sql(11))
 def walk(v: View) -> DataFrame:
-    """Roots: the item with most players of each type; SQL walks from these only."""
-    players = v.plays.groupBy("item_id").agg(F.count("*").alias("n")).join(v.item_tag, "item_id")
-    return _walk(v, recall.topn_per_key(players, "tag", "n", "item_id", 1))
+    """Ten steps from every played item."""
+    return _walk(v, 11)
 
 
-@query("personal_walk_all")
+@query("personal_walk_all", _walk_sql(WALK_ROUNDS))
 def walk_all(v: View) -> DataFrame:
-    """The whole job: every played item is a root. Too much for a recursive SQL twin; ``personal_walk`` has one."""
-    return _walk(v, v.plays.select("item_id").distinct())
+    """The whole job: every played item is a root, a hundred steps."""
+    return _walk(v, WALK_ROUNDS)
 
 
-def _walk(v: View, roots: DataFrame) -> DataFrame:
+def _walk(v: View, rounds: int) -> DataFrame:
     u, i = F.concat(F.lit("u"), F.col("user_id").cast("string")), F.concat(F.lit("i"), F.col("item_id").cast("string"))
     edges = v.plays.select(u.alias("src"), i.alias("dst"), F.col("dur").alias("w")).unionByName(
         v.plays.select(i.alias("src"), u.alias("dst"), F.col("dur").alias("w"))
     )
     items = v.plays.select(i.alias("item_id")).distinct()
-    return personal_walk(edges, roots.select(i.alias("root")), items, rounds=WALK_ROUNDS).select("root", "item_id", "score")
+    return personal_walk(edges, items.select(F.col("item_id").alias("root")), items, rounds=rounds).select("root", "item_id", "score")

@@ -271,8 +271,8 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
-def with_views(names: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
-    """SQL text: the named views and what they need, own steps, then the body."""
+def with_views(names: list[str], body: str, extra: list[tuple[str, str]] | None = None, keep: bool = False) -> str:
+    """SQL text: the named views and what they need, own steps (kept as tables on wish), then the body."""
     done: list[str] = []
 
     def need(name: str) -> None:
@@ -283,5 +283,5 @@ def with_views(names: list[str], body: str, extra: list[tuple[str, str]] | None
 
     for name in names:
         need(name)
-    steps = [f"{n} AS MATERIALIZED ({CTES[n][1]})" for n in done] + [f"{n} AS ({s})" for n, s in extra or []]
+    steps = [f"{n} AS MATERIALIZED ({CTES[n][1]})" for n in done] + [f"{n} AS {'MATERIALIZED ' if keep else ''}({s})" for n, s in extra or []]
     return f"WITH {', '.join(steps)} {body}" if steps else body
