@@ -471,14 +471,15 @@ def test_copies_are_written_out_on_demand(spark):
     assert got == [(2, 1, 1.0), (2, 3, pytest.approx(2 / 3)), (2, 4, pytest.approx(2 / 3)), (5, 6, 1.0)]
 
 
-@pytest.mark.parametrize("t", [0.1, 0.5])
-def test_tfidf_cosine(spark, t):
+@pytest.mark.parametrize("t, work, block", [(0.1, 1 << 21, 1 << 20), (0.5, 1 << 21, 1 << 20), (0.1, 40, 90), (0.5, 7, 200), (0.0, 300, 400)])
+def test_tfidf_cosine(spark, monkeypatch, t, work, block):
+    monkeypatch.setattr(pair_similarity, "WORK", work)
     rnd = random.Random(12)
     docs = {d: [f"w{int(rnd.paretovariate(0.7)) % 60}" for _ in range(rnd.randrange(3, 40))] for d in range(60)}
     for d in range(60, 90):
         docs[d] = docs[0][::-1]
     terms = frame(spark, [(d, w) for d, ws in docs.items() for w in ws], "doc_id int, term string")
-    got = {(r["a"], r["b"]): r["cos"] for r in pair_similarity.tfidf_cosine(terms, t).collect()}
+    got = {(r["a"], r["b"]): r["cos"] for r in pair_similarity.tfidf_cosine(terms, t, block).collect()}
     count = {d: {w: ws.count(w) for w in ws} for d, ws in docs.items()}
     df = defaultdict(int)
     for c in count.values():

@@ -262,20 +262,29 @@ def tfidf(v: View) -> DataFrame:
     return pair_similarity.tfidf(pair_similarity.term_counts(_terms(v))).withColumn("weight", F.round("weight", 6))
 
 
-@query(
-    "tfidf_cosine",
-    with_views([], "SELECT a, b, ROUND(cos, 9) AS cos FROM (SELECT x.doc_id AS a, y.doc_id AS b, SUM(x.w * y.w) AS cos FROM unit x JOIN unit y "
-    "ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2) WHERE cos > 0.5 "
-    "UNION ALL SELECT first_id, doc_id, 1.0::DOUBLE FROM groups WHERE doc_id <> first_id",
-    [*_TERMS, ("bags", "SELECT doc_id, string_agg(term || ':' || cnt, ',' ORDER BY term) AS body FROM counts GROUP BY 1"),
-     ("groups", "SELECT doc_id, MIN(doc_id) OVER (PARTITION BY body) AS first_id FROM bags"),
-     ("unit", "SELECT doc_id, term, weight / SQRT(SUM(weight * weight) OVER (PARTITION BY doc_id)) AS w FROM weighted "
-      "WHERE weight > 0 AND doc_id IN (SELECT doc_id FROM groups WHERE doc_id = first_id)")]),
-)
+def _tfidf_cosine_sql(t: float) -> str:
+    return with_views(
+        [], "SELECT a, b, ROUND(cos, 9) AS cos FROM (SELECT x.doc_id AS a, y.doc_id AS b, SUM(x.w * y.w) AS cos FROM unit x JOIN unit y "
+        f"ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2) WHERE cos > {t} "
+        "UNION ALL SELECT first_id, doc_id, 1.0::DOUBLE FROM groups WHERE doc_id <> first_id",
+        [*_TERMS, ("bags", "SELECT doc_id, string_agg(term || ':' || cnt, ',' ORDER BY term) AS body FROM counts GROUP BY 1"),
+         ("groups", "SELECT doc_id, MIN(doc_id) OVER (PARTITION BY body) AS first_id FROM bags"),
+         ("unit", "SELECT doc_id, term, weight / SQRT(SUM(weight * weight) OVER (PARTITION BY doc_id)) AS w FROM weighted "
+          "WHERE weight > 0 AND doc_id IN (SELECT doc_id FROM groups WHERE doc_id = first_id)")],
+    )
+
+
+@query("tfidf_cosine", _tfidf_cosine_sql(0.5))
 def tfidf_cosine(v: View) -> DataFrame:
     return pair_similarity.tfidf_cosine(_terms(v), 0.5).withColumn("cos", F.round("cos", 9))
 
 
+@query("tfidf_cosine_low", _tfidf_cosine_sql(0.1))
+def tfidf_cosine_low(v: View) -> DataFrame:
+    """At the surveyed job's own threshold."""
+    return pair_similarity.tfidf_cosine(_terms(v), 0.1).withColumn("cos", F.round("cos", 9))
+
+
 # --- evaluation ------------------------------------------------------------------------
 
 
