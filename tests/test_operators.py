@@ -74,6 +74,57 @@ def test_rank_cutoff_keeps_ties(spark):
     assert rw.rank_cutoff(df, "i", "s", 50).count() == 5
 
 
+def test_nth_largest_is_exact(spark, monkeypatch):
+    rnd = random.Random(3)
+    values = [rnd.choice([0.5, 0.5, 2.0**-1070, -7.25, rnd.random(), rnd.random() * 1e300, -rnd.random() * 1e-300]) for _ in range(900)]
+    values += [float("inf"), float("inf"), float("-inf"), float("nan"), 1.7976931348623157e308]
+    order = sorted(values, key=lambda x: (x != x, x if x == x else 0.0), reverse=True)
+    df = frame(spark, [(x,) for x in values] + [(None,)], "s double")
+    for parts, places in ((1000, (1, 3, 4, 17, 450, len(values))), (40, (333,))):
+        monkeypatch.setattr(rw, "PARTS", parts)
+        for n in places:
+            got = rw.nth_largest(df, "s", n)
+            assert got == order[n - 1] or (got != got and order[n - 1] != order[n - 1]), n
+    big = frame(spark, [(2**60 + i,) for i in range(300)], "s long")
+    assert rw.nth_largest(big, "s", 7) == 2**60 + 293
+    assert rw.nth_largest(df, "s", len(values) + 1) is None and rw.nth_largest(df.where("s < 0 AND s > 0"), "s", 1) is None
+    many = spark.range(200_000).selectExpr("id", "id % 70000 AS s")
+    cut = sorted((i % 70000 for i in range(200_000)), reverse=True)[49_999]
+    assert rw.nth_largest(many, "s", 50_000) == cut
+    kept = rw.rank_cutoff(many, "id", "s", 50_000)
+    assert kept.count() == sum(i % 70000 >= cut for i in range(200_000))
+    assert "Window" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_items_of_falling_norm_end_early(spark, monkeypatch):
+    monkeypatch.setattr(factors, "FIRST_ITEMS", 16)
+    rnd = np.random.default_rng(9)
+    users, items = rnd.normal(size=(40, 8)), rnd.normal(size=(900, 8)) * rnd.pareto(2.0, size=(900, 1))
+    vec = lambda m: [(k, [float(x) for x in m[k]]) for k in range(len(m))]
+    args = (
+        frame(spark, vec(users), "user_id int, factor array<double>"), frame(spark, vec(items), "item_id int, factor array<double>"),
+        frame(spark, [(u, 3 * u) for u in range(40)], "user_id int, item_id int"), frame(spark, [(i, f"s{i % 90}") for i in range(800)], "item_id int, singer string"),
+    )
+    want = None
+    for block in (1000, 100):
+        monkeypatch.setattr(factors, "HOT_BLOCK", block)
+        made = spark.sparkContext.accumulator(0)
+        lists_ = factors._hot_lists(*args, 2, 12, made)
+        best = rw.capped_top_n(lists_, ["user_id"], "singer", [F.desc("score"), F.col("item_id")], 2, 12).collect()
+        got = {(r["user_id"], r["rank"]): r["item_id"] for r in best}
+        if want is None:
+            want = {}
+            for u in range(40):
+                seen, rank = defaultdict(int), 0
+                for i in sorted(range(900), key=lambda i: (-round(float(users[u] @ items[i]), 9), i)):
+                    name = f"s{i % 90}" if i < 800 else "Unknown"
+                    if i != 3 * u and seen[name] < 2 and rank < 12:
+                        seen[name], rank = seen[name] + 1, rank + 1
+                        want[u, rank] = i
+        assert got == want
+        assert 0 < made.value < 40 * 900 * 0.6
+
+
 # --- functions and filters ---------------------------------------------------------------
 
 

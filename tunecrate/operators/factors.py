@@ -26,6 +26,8 @@ RATINGS_PER_BLOCK = 1_000_000
 HOT_BLOCK = 20000
 USER_BLOCK = 16384
 PRODUCT_ROWS = 256  # users of a block scored at a time
+FIRST_ITEMS = 256  # items scored before the first look at the bounds; the step doubles
+ROUNDING = 1e-8  # scores order after rounding to nine digits
 
 
 @dataclass(frozen=True)
@@ -248,69 +250,122 @@ def hot_by_norm(item_factors: DataFrame, n: int = 50000) -> DataFrame:
     return rank_cutoff(with_norm, ITEM, "sq_norm", n)
 
 
+def _best_by_falling_norm(
+    users: np.ndarray, barred: list, least: np.ndarray, vectors_: np.ndarray, norms: np.ndarray, codes: np.ndarray, cap: int, length: int
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """Per user the (item rows, scores) that can still be listed, and the number of products made.
+
+    Items come by falling norm, ties by id. A user takes part as long as |user| x |next item|
+    reaches the user's last place: the ``length``-th best score so far with ``cap`` a singer.
+    """
+    sizes = np.sqrt(np.einsum("ij,ij->i", users, users))
+    found = [(np.zeros(0, np.int64), np.zeros(0))] * len(users)
+    least, products, low, step = least.copy(), 0, 0, FIRST_ITEMS
+    while low < len(norms):
+        alive = np.flatnonzero(sizes * norms[low] + ROUNDING >= least)
+        if not len(alive):
+            break
+        high = min(len(norms), low + step)
+        scores = np.round(users[alive] @ vectors_[low:high].T, 9)
+        products += scores.size
+        for row, user in enumerate(alive.tolist()):
+            at = np.flatnonzero(scores[row] >= least[user])
+            if barred[user] is not None:
+                at = at[~np.isin(at + low, barred[user])]
+            if not len(at):
+                continue
+            rows = np.concatenate([found[user][0], at + low])
+            score = np.concatenate([found[user][1], scores[row][at]])
+            order = np.argsort(-score, kind="stable")  # a stable order would need ids: ties at the end are all kept
+            singer = codes[rows[order]]
+            by = np.argsort(singer, kind="stable")
+            starts = np.flatnonzero(np.append(True, np.diff(singer[by]) != 0))
+            nth = np.empty(len(by), np.int64)
+            nth[by] = np.arange(len(by)) - np.repeat(starts, np.diff(np.append(starts, len(by))))
+            capped = score[order][nth < cap]
+            if len(capped) >= length:
+                least[user] = max(least[user], capped[length - 1])
+            keep = score >= least[user]
+            found[user] = (rows[keep], score[keep])
+        low, step = high, step * 2
+    return found, products
+
+
 def _hot_lists(
-    users: DataFrame, hot: DataFrame, excluded: DataFrame, singers: DataFrame, cap: int, length: int
+    users: DataFrame, hot: DataFrame, excluded: DataFrame, singers: DataFrame, cap: int, length: int, products=None
 ) -> DataFrame:
     """Ranked lists from the hot pool for users with few candidates. users: (user_id, factor, length).
 
-    Users and hot items meet in blocks of bounded size, each one matrix product; ties at the
-    norm cut may make the hot pool larger than planned and only add blocks. A block returns
-    what can still be listed: of the allowed items the best ``cap`` per singer, and of those
-    the first ``length`` (an item among the first of all blocks is among the first of its own).
+    Items fall into blocks of falling norm. All users meet the first block, which gives them a
+    last place; a later block is met only by the users whose norm times its largest norm can
+    still reach theirs, and inside a block the same bound ends a user's walk. Ties at the norm
+    cut may make the hot pool larger than planned and only add blocks.
     """
     hot = cut_lineage(
         hot.join(singers.select(ITEM, "singer"), ITEM, "left").select(
-            ITEM, F.coalesce("singer", F.lit("Unknown")).alias("singer"), "factor"
+            ITEM, F.coalesce("singer", F.lit("Unknown")).alias("singer"), vectors.doubles(F.col("factor")).alias("factor"),
+            F.sqrt(vectors.sq_norm(F.col("factor"))).alias("norm"),
         )
-    )
-    users = cut_lineage(users.select(USER, "factor"))
+    )
+    users = cut_lineage(users.select(USER, vectors.doubles(F.col("factor")).alias("factor"), F.sqrt(vectors.sq_norm(F.col("factor"))).alias("size")))
     hot_blocks = max(1, -(-hot.count() // HOT_BLOCK))
     user_blocks = max(1, -(-users.count() // USER_BLOCK))
     user_type, item_type = (users.schema[USER].dataType.simpleString(), hot.schema[ITEM].dataType.simpleString())
-
-    placed = hot.withColumn("hb", F.pmod(F.xxhash64(ITEM), F.lit(hot_blocks)))
+    # the range partitions are the blocks; the id splits items of one norm
+    ranged = hot.repartitionByRange(hot_blocks, F.desc("norm"), F.col(ITEM)) if hot_blocks > 1 else hot.repartition(1)
+    placed = cut_lineage(ranged.withColumn("hb", F.spark_partition_id().cast("bigint")))
+    tops = {r["hb"]: r["top"] for r in placed.groupBy("hb").agg(F.max("norm").alias("top")).collect()}
     barred = (
         excluded.join(placed.select(ITEM, "hb"), ITEM)
         .select(USER, "hb", ITEM).distinct()
         .groupBy(USER, "hb").agg(F.collect_list(ITEM).alias("barred"))  # at most one hot block
     )
-    left = (
-        users.withColumn("hb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(hot_blocks - 1).cast("bigint"))))
-        .join(barred, [USER, "hb"], "left")
-        .withColumn("ub", F.pmod(F.xxhash64(USER), F.lit(user_blocks)))
-    )
-    right = placed.withColumn(
-        "ub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(user_blocks - 1).cast("bigint")))
-    )
 
     def rank_block(u: pd.DataFrame, h: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {USER: [], ITEM: [], "singer": [], "score": []}
         if len(u) and len(h):
-            h = h.sort_values(ITEM, kind="stable")
-            names, items = h["singer"].to_numpy(), h[ITEM].to_numpy()
+            h = h.sort_values(["norm", ITEM], ascending=[False, True], kind="stable", ignore_index=True)
+            names, items, norms = h["singer"].to_numpy(), h[ITEM].to_numpy(), h["norm"].to_numpy()
             codes, matrix = pd.factorize(names)[0], np.stack(h["factor"].to_numpy())
-            users_, barred_ = u[USER].to_numpy(), u["barred"].to_numpy()
+            place = pd.Series(np.arange(len(items)), index=items)
+            users_, factors_, least = u[USER].to_numpy(), np.stack(u["factor"].to_numpy()), u["least"].to_numpy()
+            gone = [None if b is None else place.reindex(b).dropna().to_numpy().astype(np.int64) for b in u["barred"].to_numpy()]
             for at in range(0, len(u), PRODUCT_ROWS):
-                scores = np.round(np.stack(u["factor"].to_numpy()[at : at + PRODUCT_ROWS]) @ matrix.T, 9)
-                orders = np.argsort(-scores, axis=1, kind="stable")
-                for row, (score, order) in enumerate(zip(scores, orders)):
-                    user, gone = users_[at + row], barred_[at + row]
-                    if gone is not None:
-                        order = order[~np.isin(items[order], gone)]
-                    singer = pd.Series(codes[order])
-                    order = order[(singer.groupby(singer).cumcount() < cap).to_numpy()]
-                    order = order[:length]
-                    out[USER] += [user] * len(order)
-                    out[ITEM] += list(items[order])
-                    out["singer"] += list(names[order])
-                    out["score"] += list(score[order])
+                part = slice(at, at + PRODUCT_ROWS)
+                found, made = _best_by_falling_norm(factors_[part], gone[part], least[part], matrix, norms, codes, cap, length)
+                if products is not None:
+                    products.add(made)
+                for user, (rows, scores) in zip(users_[part], found):
+                    out[USER] += [user] * len(rows)
+                    out[ITEM] += list(items[rows])
+                    out["singer"] += list(names[rows])
+                    out["score"] += list(scores)
         return result_frame(out)
 
-    return (
-        left.select("hb", "ub", USER, "factor", "barred").groupBy("hb", "ub")
-        .cogroup(right.select("hb", "ub", ITEM, "singer", "factor").groupBy("hb", "ub"))
-        .applyInPandas(rank_block, f"{USER} {user_type}, {ITEM} {item_type}, singer string, score double")
-    )
+    def met(asked: DataFrame, blocks: list[int]) -> DataFrame:
+        """Lists of ``asked`` (user, factor, least, hb) from the named blocks."""
+        left = asked.join(barred, [USER, "hb"], "left").withColumn("ub", F.pmod(F.xxhash64(USER), F.lit(user_blocks)))
+        right = placed.where(F.col("hb").isin(blocks)).withColumn(
+            "ub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(user_blocks - 1).cast("bigint")))
+        )
+        return (
+            left.select("hb", "ub", USER, "factor", "least", "barred").groupBy("hb", "ub")
+            .cogroup(right.select("hb", "ub", ITEM, "singer", "factor", "norm").groupBy("hb", "ub"))
+            .applyInPandas(rank_block, f"{USER} {user_type}, {ITEM} {item_type}, singer string, score double")
+        )
+
+    first, later = min(tops, default=0), sorted(tops)[1:]
+    lists = met(users.withColumn("hb", F.lit(first).cast("bigint")).withColumn("least", F.lit(float("-inf"))), [first])
+    if not later:
+        return lists
+    lists = cut_lineage(lists)
+    places = capped_top_n(lists, [USER], "singer", [F.desc("score"), F.col(ITEM)], cap, length)
+    last = places.where(F.col("rank") == length).select(USER, F.col("score").alias("least"))
+    open_blocks = F.array(*[F.struct(F.lit(b).cast("bigint").alias("hb"), F.lit(tops[b]).alias("top")) for b in later])
+    asked = users.join(last, USER, "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+    reaching = F.filter(open_blocks, lambda b: F.col("size") * b["top"] + ROUNDING >= F.col("least"))
+    asked = asked.withColumn("hb", F.explode(F.transform(reaching, lambda b: b["hb"])))
+    return lists.unionByName(met(asked, later))
 
 
 def cf_recommend(
@@ -327,13 +382,14 @@ def cf_recommend(
     extra: int = 100,
     per_singer: int = 3,
     hot_n: int = 50000,
+    products=None,
 ) -> DataFrame:
     """(user_id, item_id, score, rank, tag): final lists by factor product.
 
     A user with more than ``min_candidates`` usable candidates is ranked over them, others
     over the hot pool. At most ``per_singer`` items per singer, unknown singers counting as
     one. Users with a profile (tag 1) get ``length + extra`` entries, others (tag 0)
-    ``length``.
+    ``length``. products: an accumulator that gets the number of user x hot item products made.
     """
     usable_items = cut_lineage(good_bad_filter(item_factors, good, bad))
     tagged = user_factors.join(
@@ -357,7 +413,7 @@ def cf_recommend(
         .select(USER, ITEM, F.coalesce("singer", F.lit("Unknown")).alias("singer"), "score")
     )
     poor = user_factors.join(rich, USER, "left_anti")
-    by_hot = _hot_lists(poor, hot_by_norm(usable_items, hot_n), excluded, singers, per_singer, longest)
+    by_hot = _hot_lists(poor, hot_by_norm(usable_items, hot_n), excluded, singers, per_singer, longest, products)
     ranked = capped_top_n(
         by_candidates.unionByName(by_hot), [USER], "singer", [F.desc("score"), F.col(ITEM)], per_singer, longest
     )
