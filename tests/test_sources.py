@@ -92,7 +92,14 @@ def test_day_partitions(spark, tmp_path, sep):
         for day, v in (("2019-08-01", "a"), ("2019-08-02", "b"), ("2019-08-03", "c"), ("2019-08-02", "z")):
             sinks.overwrite_day(row(v), name, day)
         assert sorted(r["songid"] for r in spark.table(name).collect()) == ["a", "c", "z"]
-        assert [r["songid"] for r in readers.table_days(spark, name, "2019-08-02").collect()] == ["z"]
+        one = readers.table_days(spark, name, "2019-08-02")
+        assert [r["songid"] for r in one.collect()] == ["z"]
+        assert "PartitionFilters: [isnotnull(dt" in one._jdf.queryExecution().executedPlan().toString()
+        sinks.overwrite_days(spark.createDataFrame([("2019-08-02", "p", "q"), ("2019-08-04", "r", "s")], "dt string, songid string, channel string"), name)
+        assert sorted((r["songid"], r["dt"]) for r in spark.table(name).collect()) == [
+            ("a", "2019-08-01"), ("c", "2019-08-03"), ("p", "2019-08-02"), ("r", "2019-08-04")
+        ]
+        sinks.overwrite_day(row("z"), name, "2019-08-02")
         assert sorted(r["songid"] for r in readers.last_days(spark, name, "2019-08-03", 2).collect()) == ["c", "z"]
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

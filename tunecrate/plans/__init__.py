@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["recall_queries", "report_queries", "vector_queries", "model_queries", "source_queries"]
+MODULES = ["recall_queries", "report_queries", "vector_queries", "model_queries", "source_queries", "store_queries"]
 
 
 def load_all() -> None:
