@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -174,11 +175,43 @@ def test_private_keys_are_masked_whole(spark):
     masked = {x["doc_id"]: x["text"] for x in secret_scan.mask_secrets(docs).collect()}
     assert [masked[i] for i in range(9)] == ["a [secret] z"] * 6 + ["a [secret] is a header, z", "a [secret] [secret] z", "a [secret] z"]
     assert masked[9] == "a [secret]" + texts[9][len("a " + begin) :]
-    header = "-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    header = "-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
     rule = next(x for x in secret_scan.RULES if x.kind == "private_key")
     assert trigram_query.trigram_query(rule.pattern) == trigram_query.trigram_query(header)
 
 
+def test_private_keys_without_bounds(spark):
+    line = "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo0" + "A1+/" * 7
+    begin, end = "-----BEGIN EC PRIVATE KEY-----", "-----END EC PRIVATE KEY-----"
+    block = "-----BEGIN PGP PRIVATE KEY BLOCK-----", "-----END PGP PRIVATE KEY BLOCK-----"
+    hyphens = "Comment: a-b-c-d-e-f-g-h-i-j-k--l---m----n\n\n"
+    body = "\n".join([line] * 100)
+    texts = [
+        f"a {begin}" + f"\n    {line}" * 100 + " z", f"a {begin}" + f"\n    {line}" * 50_000 + " z",
+        f"a {begin}\n{hyphens}{body}\n{end} z", f"a {begin}\n{hyphens * 20_000}{body}\n{end} z", f"a {begin}\n{hyphens}{body} z",
+        f"a {block[0]}\nVersion: X 1.4-2\n\n{body}\n=AbCd\n{block[1]} z", f"a {block[0]}\nVersion: X 1.4-2\n\n{body} z",
+        f"a {begin}\n{body}\n-{end} z", f"a {begin} {begin} {begin} z", f"a {begin}\n{body}\n{end} - prose {end} z",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    masked = {x["doc_id"]: x["text"] for x in secret_scan.mask_secrets(docs).collect()}
+    assert [masked[i] for i in range(8)] == ["a [secret] z"] * 8
+    assert [masked[8], masked[9]] == ["a [secret] [secret] [secret] z", f"a [secret] - prose {end} z"]
+
+
+def test_texts_with_very_many_secrets(spark):
+    r = random.Random(8)
+    words = [f"{r.getrandbits(64 + 4 * (i % 5)):0{16 + i % 5}x}" for i in range(60_000)]
+    text = "\u00e9 " + ", ".join(words) + " end"
+    docs = spark.createDataFrame([(1, text), (2, "token=0123456789abcdef0123 x"), (3, "AKIA" + "Z" * 20)], "doc_id long, text string")
+    started = time.monotonic()
+    found = {x["doc_id"]: x for x in secret_scan.find_secrets(docs).collect()}
+    spans = found[1]["spans"].split(",")
+    assert found[1]["n_hex"] == 60_000 and spans == [f"hex:{a}:{b}" for a, _, b in brute_secrets(text)]
+    masked = {x["doc_id"]: x["text"] for x in secret_scan.mask_secrets(docs).collect()}
+    assert masked == {1: "\u00e9 " + ", ".join(["[secret]"] * 60_000) + " end", 2: "[secret] x", 3: "[secret]"}
+    assert time.monotonic() - started < 60
+
+
 def test_trigram_queries_are_necessary():
     assert trigram_query.trigram_query("[0-9a-f]{16,}") == trigram_query.ANY
     assert trigram_query.trigram_query("(foo|ba+r)x") == trigram_query.ANY

@@ -19,7 +19,7 @@ count code points. Letters of keywords match in either ASCII case.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,11 +41,13 @@ class Rule:
 
 BASE = ("assign", "access", "hex")
 
-#: From a private key's BEGIN line to its END line, or where END is missing, over the base64 lines that follow. No part
-#: may repeat a group without a small bound: Java matches groups by recursion.
+#: From a private key's BEGIN line to its END line: what lies between holds no five hyphens in a row. Where END is missing,
+#: over the header lines and base64 lines that follow. Repeated groups are possessive: Java runs those as loops, others by
+#: recursion, and what follows each can never begin inside it, so other engines find the same without.
 _KEY_BODY = (
-    r"(?:[^-]*(?:-[^-]+){0,8}-----END [A-Z ]*PRIVATE KEY-----"
-    r"|[A-Za-z0-9+/=\\\r\n]*(?:[\x20\t\r\n]+[A-Za-z0-9+/=\\]{16,}){0,60})"
+    r"(?:(?:[^-]+|-{1,4}[^-])*+-{5,}END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:[\r\n]+(?:Proc-Type|DEK-Info|Version|Comment|MessageID|Hash|Charset): [^\r\n]*)*+"
+    r"[A-Za-z0-9+/=\\\r\n]*(?:[\x20\t\r\n]+[A-Za-z0-9+/=\\]{16,})*+)"
 )
 
 #: Production rules. A run of hex digits is matched from 16 on: greedy runs make that the same as matching
@@ -58,10 +60,14 @@ RULES = (
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----" + _KEY_BODY),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----" + _KEY_BODY),
 )
 
-SPANS = "array<struct<start:int,kind:int,end:int,size:int>>"
+SPAN = "struct<start:int,kind:int,end:int,size:int>"
+SPANS = f"array<{SPAN}>"
+
+#: Items that one array is grown by; a longer list is handled block by block, so work stays near linear in its length.
+BLOCK = 256
 
 
 def _demands(rules: Sequence[Rule]) -> dict[int, list[list[str]]]:
@@ -92,6 +98,41 @@ def candidates(index: DataFrame, demands: dict[int, list[list[str]]]) -> DataFra
     return met.select("doc_id", "_h", rules.alias("rules")).where(F.size("rules") > 0)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(items: Column, of_block: Callable[[Column], Column]) -> Column:
+    """``of_block`` of each BLOCK consecutive items; one empty block where there are none."""
+    last = F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: of_block(F.slice(items, b * BLOCK + 1, F.lit(BLOCK))))
+
+
+def _running(items: Column, kind: str, size: Callable[[Column], Column], join: Callable[[Column, Column], Column]) -> Column:
+    """(before, item) per item of type ``kind``: ``size`` of all earlier items, put together by ``join`` from 0 on."""
+    entries, numbers = F.array().cast(f"array<struct<before:int,item:{kind}>>"), F.array().cast("array<int>")
+
+    def inside(block: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            entry = F.struct(acc["at"].alias("before"), x.alias("item"))
+            return F.struct(join(acc["at"], size(x)).alias("at"), F.concat(acc["out"], F.array(entry)).alias("out"))
+
+        return F.aggregate(block, F.struct(F.lit(0).alias("at"), entries.alias("out")), step)
+
+    def ahead(acc: Column, block: Column) -> Column:
+        return F.struct(join(acc["at"], block["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def shifted(block: Column, at: Column) -> Column:
+        return F.transform(block["out"], lambda e: F.struct(join(at, e["before"]).alias("before"), e["item"].alias("item")))
+
+    def together(done: Column) -> Column:
+        starts = F.aggregate(done, F.struct(F.lit(0).alias("at"), numbers.alias("out")), ahead, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(done, starts, shifted))
+
+    return _let(items, lambda all_items: _let(_blocks(all_items, inside), together))
+
+
 def _spans(text: Column, number: int, rule: Rule) -> Column:
     """Spans of a rule's matches in a text: lengths of matches and of the pieces between them, summed up."""
     pattern = F.lit(rule.pattern)
@@ -103,14 +144,30 @@ def _spans(text: Column, number: int, rule: Rule) -> Column:
         counted,
         lambda x, v: F.struct(x["p"].alias("p"), x["m"].alias("m"), F.length(v).alias("v")),
     )
+    placed = _running(zipped, "struct<p:int,m:int,v:int>", lambda x: x["p"] + x["m"], lambda a, b: a + b)
+
+    def span(e: Column) -> Column:
+        start = e["before"] + e["item"]["p"]
+        return F.struct(start.alias("start"), F.lit(number).alias("kind"), (start + e["item"]["m"]).alias("end"), e["item"]["v"].alias("size"))
+
+    return F.filter(F.transform(placed, span), lambda s: s["size"] >= rule.least)
+
+
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with ``mask`` in the place of its sorted spans (at least one); an overlap belongs to the earlier span."""
+    with_end = _running(spans, SPAN, lambda s: s["end"], F.greatest)
+    gaps = F.transform(
+        F.filter(with_end, lambda e: e["item"]["start"] >= e["before"]),
+        lambda e: F.struct(e["before"].alias("start"), e["item"]["start"].alias("end")),
+    )
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["p"]
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), (start + x["m"]).alias("end"), x["v"].alias("size"))
-        return F.struct((start + x["m"]).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def kept(block: Column) -> Column:
+        first, last = F.element_at(block, 1)["start"], F.element_at(block, -1)["end"]
+        part = F.substring(text, first + 1, last - first)
+        return _let(part, lambda t: F.array_join(F.transform(block, lambda g: F.substring(t, g["start"] - first + 1, g["end"] - g["start"])), mask))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-    return F.filter(F.aggregate(zipped, start, step, lambda acc: acc["spans"]), lambda s: s["size"] >= rule.least)
+    at = F.array_max(F.transform(spans, lambda s: s["end"]))
+    return F.concat(_let(gaps, lambda g: F.array_join(_blocks(g, kept), mask)), F.lit(mask), F.substring(text, at + 1, F.length(text)))
 
 
 def with_spans(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -160,15 +217,5 @@ def mask_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     rows = rows.withColumn("_h", F.xxhash64("_text"))
     joined = rows.join(spans, rows["_doc"].eqNullSafe(spans["_id"]) & (rows["_h"] == spans["_key"]), "left")
 
-    def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        kept = F.substring(F.col("_text"), acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(new, F.concat(acc["out"], kept, F.lit(mask))).otherwise(acc["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda acc: F.concat(acc["out"], F.substring(F.col("_text"), acc["at"] + 1, F.length("_text")))
-    masked = F.when(F.col("_spans").isNull(), F.col(f"_row.{text}")).otherwise(F.aggregate("_spans", start, step, rest))
+    masked = F.when(F.col("_spans").isNull(), F.col(f"_row.{text}")).otherwise(_masked(F.col("_text"), F.col("_spans"), mask))
     return joined.select(*(masked.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns))
