@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tunecrate.functions import ids, measures, vectors
-from tunecrate.operators import evaluation, factors, features, filters, lists, nearest, pair_similarity, recall, sessions, walk
+from tunecrate.operators import boosting, evaluation, factors, features, filters, lists, nearest, pair_similarity, recall, sessions, walk
 from tunecrate.operators import ranking_windows as rw
 
 
@@ -606,3 +606,68 @@ def test_interval_overlap_counts_each_pair_once(spark):
     li = frame(spark, [("u", 3000.0, 12000.0, "m"), ("u", 30000.0, 30010.0, "m"), ("w", 0.0, 5.0, "m")], "user_id string, start double, end double, module string")
     got = sessions.interval_overlap(fg, li).collect()
     assert [(r["module"], r["seconds"], r["users"]) for r in got] == [("m", 14000.0, 1)]
+
+
+def brute_boost(rows, rounds, depth, l2, least=1.0):
+    """Margins of exact second-order trees on rows (label, values); null goes left."""
+    y = np.array([r[0] for r in rows])
+    x = np.array([[-np.inf if v is None else v for v in r[1]] for r in rows])
+    m = np.zeros(len(y))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-m))
+        g, h = p - y, p * (1 - p)
+        score = lambda own: g[own].sum() ** 2 / (h[own].sum() + l2)
+        nodes = [np.ones(len(y), bool)]
+        for _ in range(depth):
+            below = []
+            for own in nodes:
+                best = (1e-6, None)
+                for f in range(x.shape[1]):
+                    for cut in np.unique(x[own, f])[1:]:
+                        left, right = own & (x[:, f] < cut), own & (x[:, f] >= cut)
+                        gain = (score(left) + score(right) - score(own)) / 2
+                        if h[left].sum() >= least and h[right].sum() >= least and gain > best[0] + 1e-10:
+                            best = (gain, (left, right))
+                below += [own] if best[1] is None else best[1]
+            nodes = below
+        for own in nodes:
+            m[own] -= g[own].sum() / (h[own].sum() + l2)
+    return m
+
+
+@pytest.mark.parametrize("l2", [0.0, 2.5, 40.0])
+def test_boosting_against_brute_force(spark, l2):
+    rnd = random.Random(21)
+    rows = []
+    for _ in range(400):
+        values = [float(rnd.randrange(9)), rnd.choice([None, 0.25, -1.5, 3.0]), float(rnd.randrange(5))]
+        rows.append((float(rnd.random() < (values[0] + (values[1] or 0) * values[2]) / 16), values))
+    samples = frame(spark, [(i, *r) for i, r in enumerate(rows)], "id int, label double, features array<double>")
+    noise = frame(spark, [(-1, None, [1.0, 1.0, 1.0]), (-2, 1.0, None)], "id int, label double, features array<double>")
+    trees = boosting.boost(samples.union(noise), rounds=4, depth=3, l2=l2, every=2)
+    got = {r["id"]: r["margin"] for r in boosting.boosted_margin(samples.union(noise), trees).collect()}
+    expected = brute_boost(rows, 4, 3, l2)
+    assert [got[i] for i in range(len(rows))] == pytest.approx(list(expected), abs=1e-8)
+    assert got[-2] is None and len(got) == len(rows) + 2
+
+
+def test_boosting_without_rows_or_cuts(spark):
+    schema = "label double, features array<double>"
+    none = frame(spark, [], schema)
+    assert boosting.boost(none) == [] and boosting.boosted_margin(none, []).count() == 0
+    flat = frame(spark, [(1.0, [2.0])] * 30 + [(0.0, [2.0])] * 10, schema)
+    trees = boosting.boost(flat, rounds=1)
+    assert trees[0].splits == {} and trees[0].leaves[1] == pytest.approx(10 / (10 + 2.5))
+    ends = frame(spark, [(1.0, [float("inf")])] * 30 + [(0.0, [float("-inf")])] * 30 + [(1.0, [float("nan")])] * 10, schema)
+    scored = boosting.boosted_margin(ends, boosting.boost(ends, rounds=2, least_hessian=0.5))
+    assert {(r["label"], r["margin"] > 0) for r in scored.collect()} == {(1.0, True), (0.0, False)}
+
+
+def test_boosting_with_many_values_learns(spark):
+    rnd = random.Random(4)
+    rows = [(i, float(a + b > 1), [a, b, c]) for i, (a, b, c) in enumerate([(rnd.random(), rnd.random(), rnd.random()) for _ in range(3000)])]
+    samples = frame(spark, rows, "id int, label double, features array<double>")
+    trees = boosting.boost(samples, rounds=6, depth=4, bins=32)
+    scored = boosting.boosted_margin(samples, trees)
+    assert evaluation.auc(scored, score="margin").first()["auc"] > 0.98
+    assert all(2 <= n < 32 for t in trees for n in t.leaves)

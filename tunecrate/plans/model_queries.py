@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunecrate.functions import measures, vectors
-from tunecrate.operators import click_models, clustering, embeddings, evaluation, factors, recall
+from tunecrate.operators import boosting, click_models, clustering, embeddings, evaluation, factors, recall
 from tunecrate.plans.recall_queries import _draw_int
 from tunecrate.plans.registry import query
 from tunecrate.plans.views import View, with_views
@@ -267,3 +267,46 @@ def rf_error_separable(v: View) -> DataFrame:
 @query("rf_grid_separable", "SELECT UNNEST([5, 5, 10, 10])::INT AS trees, 3 AS depth, UNNEST(['gini', 'entropy', 'gini', 'entropy']) AS impurity, 1.0::DOUBLE AS auc")
 def rf_grid_separable(v: View) -> DataFrame:
     return click_models.rf_grid_cv(_separable(v).select("label", "features"), "5,10=3=gini,entropy", 2)
+
+
+_MIXED = (
+    "SELECT p_partkey AS id, p_size % 30 AS f0, p_partkey % 7 AS f1, "
+    "CASE WHEN (p_partkey * 37 + p_size * 11) % 30 < p_size % 30 THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM part"
+)
+
+
+def _mixed(v: View) -> DataFrame:
+    """Two integer features and a label that they do not determine."""
+    size, key = F.col("p_size") % 30, F.col("p_partkey")
+    return v.table("part").select(
+        key.alias("id"), ((key * 37 + F.col("p_size") * 11) % 30 < size).cast("double").alias("label"),
+        F.array(size.cast("double"), (key % 7).cast("double")).alias("features"),
+    )
+
+
+def _boosted_sql(rounds: int, depth: int, l2: float) -> str:
+    """Rounds of second-order trees as a chain of tables: histograms, best cuts, children, margins."""
+    steps = [("samples", _MIXED), ("m0", "SELECT *, 0.0::DOUBLE AS m FROM samples")]
+    for r in range(rounds):
+        steps.append((f"n{r}_0", f"SELECT *, 1 AS node, p - y AS g, p * (1 - p) AS h FROM (SELECT *, 1 / (1 + exp(-m)) AS p FROM m{r})"))
+        for d in range(depth):
+            sides = " UNION ALL ".join(f"SELECT node, {f} AS f, f{f} AS v, g, h FROM n{r}_{d} WHERE node >= {2**d}" for f in (0, 1))
+            steps.append((f"h{r}_{d}", f"SELECT node, f, v, SUM(g) AS g, SUM(h) AS h FROM ({sides}) GROUP BY 1, 2, 3"))
+            steps.append((f"c{r}_{d}", "SELECT node, f, v, SUM(g) OVER w AS gl, SUM(h) OVER w AS hl, SUM(g) OVER e AS g, SUM(h) OVER e AS h "
+                          f"FROM h{r}_{d} WINDOW e AS (PARTITION BY node, f), w AS (PARTITION BY node, f ORDER BY v)"))
+            gain = f"(gl * gl / (hl + {l2}) + (g - gl) * (g - gl) / (h - hl + {l2}) - g * g / (h + {l2})) / 2"
+            steps.append((f"b{r}_{d}", f"SELECT node, f, v FROM (SELECT *, {gain} AS gain FROM c{r}_{d}) WHERE hl >= 1 AND h - hl >= 1 AND gain > 1e-6 "
+                          "QUALIFY ROW_NUMBER() OVER (PARTITION BY node ORDER BY ROUND(gain, 9) DESC, f, v) = 1"))
+            child = "CASE WHEN b.node IS NULL THEN n.node WHEN CASE b.f WHEN 0 THEN f0 ELSE f1 END <= b.v THEN 2 * n.node ELSE 2 * n.node + 1 END"
+            steps.append((f"n{r}_{d + 1}", f"SELECT n.* REPLACE ({child} AS node) FROM n{r}_{d} n LEFT JOIN b{r}_{d} b ON n.node = b.node"))
+        steps.append((f"m{r + 1}", f"SELECT id, f0, f1, y, m - SUM(g) OVER w / (SUM(h) OVER w + {l2}) AS m FROM n{r}_{depth} WINDOW w AS (PARTITION BY node)"))
+    chain = ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in steps)
+    return f"WITH {chain} SELECT id, ROUND(m, 6) AS margin, ROUND(1 / (1 + exp(-m)), 6) AS prob FROM m{rounds}"
+
+
+@query("boosted_l2", _boosted_sql(4, 3, 2.5))
+def boosted_l2(v: View) -> DataFrame:
+    """Leaf penalty 2.5 on labels that no tree separates; SQL follows every cut."""
+    samples = _mixed(v)
+    scored = boosting.boosted_margin(samples, boosting.boost(samples, rounds=4, depth=3, l2=2.5, every=2))
+    return scored.select("id", F.round("margin", 6).alias("margin"), F.round("prob", 6).alias("prob"))
