@@ -310,3 +310,54 @@ def boosted_l2(v: View) -> DataFrame:
     samples = _mixed(v)
     scored = boosting.boosted_margin(samples, boosting.boost(samples, rounds=4, depth=3, l2=2.5, every=2))
     return scored.select("id", F.round("margin", 6).alias("margin"), F.round("prob", 6).alias("prob"))
+
+
+def _profiles(v: View) -> tuple[DataFrame, DataFrame]:
+    """Vectors of one market segment's users (their nation) and of all items (their level)."""
+    users = v.table("customer").where(F.col("c_mktsegment") == "BUILDING")
+    users = users.select(F.col("c_custkey").alias("user_id"), F.array(F.col("c_nationkey").cast("double")).alias("features"))
+    return users, _separable(v).select(F.col("id").alias("item_id"), "features")
+
+
+def _separable_pairs(v: View) -> DataFrame:
+    """(label, features) of plays: user and item vector, of which the item's settles the label."""
+    users, items = _profiles(v)
+    pairs = v.plays.join(users.withColumnRenamed("features", "_u"), "user_id").join(items.withColumnRenamed("features", "_i"), "item_id")
+    return pairs.select((F.element_at("_i", 1) >= 12).cast("double").alias("label"), vectors.joined(F.col("_u"), F.col("_i")).alias("features"))
+
+
+_SCORED = (
+    "SELECT user_id, item_id, y, c_custkey IS NOT NULL AS known FROM recent_plays "
+    f"JOIN ({_LEVELS}) ON item_id = id LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') ON c_custkey = user_id"
+)
+
+
+@query("rank_serve_separable", with_views(["recent_plays"], "SELECT user_id, item_id FROM scored WHERE NOT known UNION ALL "
+       "(SELECT user_id, item_id FROM scored WHERE known QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY y DESC, item_id) <= 10)",
+       [("scored", _SCORED)]))
+def rank_serve_separable(v: View) -> DataFrame:
+    """Lists of users with a profile cut to ten by the model, the others' left whole."""
+    users, items = _profiles(v)
+    model = click_models.gbdt_train(_separable_pairs(v), "10_4_0.1", subsample=1.0)
+    return click_models.rank_serve(v.recent_plays.select("user_id", "item_id"), users, items, model, 10)
+
+
+@query("rf_score_split_separable", with_views(["recent_plays"], "SELECT user_id, item_id, CASE WHEN NOT known THEN NULL WHEN y > 0 THEN 1.0 ELSE 0.0 END::DOUBLE "
+       "AS prob FROM scored", [("scored", _SCORED)]))
+def rf_score_split_separable(v: View) -> DataFrame:
+    users, items = _profiles(v)
+    model = click_models.rf_train(_separable_pairs(v), trees=10, depth=5)
+    scored, plain = click_models.rf_score_split(v.recent_plays.select("user_id", "item_id"), users, items, model)
+    return scored.unionByName(plain.withColumn("prob", F.lit(None).cast("double")))
+
+
+@query("rf_pair_rank_separable", with_views(["ev"], "SELECT user_id AS a, k AS b, (clicks > 0)::INT::DOUBLE AS prob, "
+       "ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY clicks > 0 DESC, k) AS rank FROM "
+       "(SELECT user_id, k, COUNT(*) FILTER (event_type = 'click') AS clicks FROM ev GROUP BY 1, 2) QUALIFY rank <= 18"))
+def rf_pair_rank_separable(v: View) -> DataFrame:
+    """Pairs ranked by a forest that sees their clicks, which are the label."""
+    clicks = F.sum((F.col("event_type") == "click").cast("double"))
+    pairs = v.events.groupBy(F.col("user_id").alias("a"), F.col("k").alias("b")).agg(
+        (clicks > 0).cast("double").alias("label"), F.array(clicks, F.count("*").cast("double")).alias("features")
+    )
+    return click_models.rf_pair_rank(pairs, pairs.select("a", "b", "features"), 18, trees=10, depth=5)
