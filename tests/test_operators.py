@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tunecrate.functions import ids, measures, vectors
-from tunecrate.operators import boosting, evaluation, factors, features, filters, lists, nearest, pair_similarity, recall, sessions, walk
+from tunecrate.operators import boosting, cells, evaluation, factors, features, filters, lists, nearest, pair_similarity, recall, sessions, walk
 from tunecrate.operators import ranking_windows as rw
 
 
@@ -671,3 +671,27 @@ def test_boosting_with_many_values_learns(spark):
     scored = boosting.boosted_margin(samples, trees)
     assert evaluation.auc(scored, score="margin").first()["auc"] > 0.98
     assert all(2 <= n < 32 for t in trees for n in t.leaves)
+
+
+def test_cells_answer_every_query_with_bounded_slices(spark):
+    rnd = np.random.default_rng(12)
+    middle = rnd.normal(size=(30, 8))
+    points = [middle[rnd.integers(30) if i % 3 else 0] + 0.3 * rnd.normal(size=8) for i in range(2400)]  # one cell holds a third
+    points += [points[5]] * 40 + [np.zeros(8)]
+    df = frame(spark, [(i, [float(x) for x in p], "x") for i, p in enumerate(points)], "id long, features array<double>, v string").drop("v")
+    exact = {(r["a"], r["b"]): r["cos"] for r in nearest.cosine_topn(df, df, 10).collect()}
+    found = cells.cosine_topn_cells(df, df, 10, tried_queries=300, block_rows=100).collect()
+    counts = defaultdict(int)
+    for r in found:
+        counts[r["a"]] += 1
+    assert counts == {i: 10 for i in range(2440)}
+    assert sum((r["a"], r["b"]) in exact for r in found) >= 0.9 * len(exact)
+    assert all(exact.get((r["a"], r["b"]), r["cos"]) == r["cos"] for r in found)
+
+
+def test_cells_on_small_and_empty_sides(spark):
+    schema = "id long, features array<double>"
+    few = frame(spark, [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [-1.0, 0.0]), (4, None)], schema)
+    assert cells.cosine_topn_cells(few, few, 10).count() == 6  # all others, though more were asked for
+    none = frame(spark, [], schema)
+    assert cells.cosine_topn_cells(none, few, 3).count() == cells.cosine_topn_cells(few, none, 3).count() == 0
