@@ -337,6 +337,27 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     assert found == {i: least[g] for i, g in enumerate(group)} and len(least) > 5
 
 
+def test_shard_files_hold_every_row_within_the_limit(spark, docs, none, tmp_path):
+    copies = [(7, "same text over and over")] * 90 + [(None, None)] * 3
+    wide = docs.select("doc_id", "text").union(spark.createDataFrame(copies, "doc_id bigint, text string"))
+    rows_ = [tuple(r) for r in wide.collect()]
+    for limit in (300, 1 << 30):
+        path = f"{tmp_path}/{limit}"
+        found = {r["shard"]: r for r in sharding.write_shards(wide, path, limit=limit).collect()}
+        back = [tuple(r) for r in sharding.read_shards(spark, path).collect()]
+        assert Counter((i, t) for i, t, _ in back) == Counter(rows_)
+        assert sum(r["n_rows"] for r in found.values()) == len(rows_) and all(r["depth"] == len(s) for s, r in found.items())
+        plan = sorted((r["shard"], r["n"], r["size"]) for r in sharding.sharded(wide, limit=limit).groupBy("shard").agg(
+            F.count("*").alias("n"), F.first("shard_bytes").alias("size")).collect())
+        assert sorted((s, r["n_rows"], r["n_bytes"]) for s, r in found.items()) == plan
+        for s, r in found.items():
+            assert r["n_bytes"] <= limit or r["n_rows"] == 1
+            assert not any(o != s and o.startswith(s) for o in found)
+        one = max(found)
+        assert sharding.read_shards(spark, path, shard=one).count() == found[one]["n_rows"]
+    assert sharding.write_shards(none.select("doc_id", "text"), f"{tmp_path}/none").count() == 0
+
+
 def best_fit(lengths, capacity):
     gaps = []
     for length in sorted(lengths, reverse=True):

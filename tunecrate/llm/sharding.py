@@ -16,7 +16,7 @@ shard; repeated rows are kept; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunecrate.llm.storage import small_enough, stored
@@ -24,6 +24,7 @@ from tunecrate.llm.storage import small_enough, stored
 BITS = 60
 LIMIT = 512 << 10
 LOOK = 12
+FOLDER = "bits-"  # before a shard's bit string, which may be empty
 
 
 def _bits(text: Column) -> Column:
@@ -31,19 +32,20 @@ def _bits(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, BITS // 4), 16, 10).cast("bigint")
 
 
-def hashed(docs: DataFrame, doc_id: str, text: str, limit: int) -> DataFrame:
-    """(doc_id, hash, n_bytes) per row; equal rows that together pass the limit get different hashes."""
+def hashed(docs: DataFrame, doc_id: str, text: str, limit: int, keep_text: bool = False) -> DataFrame:
+    """(doc_id, hash, n_bytes[, text]) per row; equal rows that together pass the limit get different hashes."""
     body = F.coalesce(F.col(text), F.lit(""))
     name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), _bits(F.concat(name, F.lit(":"), body)).alias("hash"), F.octet_length(body).cast("bigint").alias("n_bytes"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _bits(F.concat(name, F.lit(":"), body)).alias("hash"), F.octet_length(body).cast("bigint").alias("n_bytes"), *([F.col(text).alias("text")] if keep_text else []))
     rows = stored(rows, "hashed")
-    heavy = rows.groupBy("doc_id", "hash", "n_bytes").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") * F.col("n_bytes") > limit))
+    own_text = [F.first("text").alias("text")] if keep_text else []
+    heavy = rows.groupBy("doc_id", "hash", "n_bytes").agg(F.count("*").alias("n"), *own_text).where((F.col("n") > 1) & (F.col("n") * F.col("n_bytes") > limit))
     heavy = stored(heavy, "heavy")
     if heavy.isEmpty():
         return rows
     rest = rows.join(small_enough(heavy.select(F.col("hash"), F.col("doc_id").alias("_id"))), [rows["hash"] == heavy["hash"], rows["doc_id"].eqNullSafe(F.col("_id"))], "left_anti")
-    own = heavy.select("doc_id", "hash", "n_bytes", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
-    own = own.select("doc_id", _bits(F.concat_ws(":", "hash", "copy")).alias("hash"), "n_bytes")
+    own = heavy.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).withColumn("hash", _bits(F.concat_ws(":", "hash", "copy")))
+    own = own.drop("copy", "n")
     return stored(rest.unionByName(own), "hashed")
 
 
@@ -88,7 +90,12 @@ def directory(buckets: DataFrame) -> DataFrame:
 
 def sharded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_bytes, shard, depth, shard_bytes, over_limit) per row; ``shard`` is the bucket's bit string."""
-    rows = hashed(docs, doc_id, text, limit)
+    placed = _placed(hashed(docs, doc_id, text, limit), limit)
+    return placed.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "over_limit")
+
+
+def _placed(rows: DataFrame, limit: int) -> DataFrame:
+    """``rows`` with their shard, its depth and its size."""
     found = leaves(rows, limit)
     depths = [r[0] for r in found.select("depth").distinct().collect()]  # at most 61
     name = F.substring(F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), BITS, "0"), F.lit(BITS + 1) - F.col("depth"), F.col("depth"))
@@ -99,5 +106,30 @@ def sharded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit:
         depths = [0]
     # a row's bucket is the only one among its prefixes of the depths that occur
     tries = F.explode(F.array(*(F.struct(F.lit(d).alias("d"), _prefix("hash", d).alias("p")) for d in sorted(depths))))
-    joined = rows.select("doc_id", "n_bytes", tries.alias("t")).join(lookup, (F.col("t.d") == F.col("_depth")) & (F.col("t.p") == F.col("_prefix")))
-    return joined.select("doc_id", "n_bytes", "shard", F.col("_depth").alias("depth"), "shard_bytes", "over_limit")
+    joined = rows.select("*", tries.alias("t")).join(lookup, (F.col("t.d") == F.col("_depth")) & (F.col("t.p") == F.col("_prefix")))
+    return joined.select(*rows.columns, "shard", F.col("_depth").alias("depth"), "shard_bytes", "over_limit")
+
+
+def write_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
+    """Every row's id and text, null texts too, written to its shard's folder below ``path``; returns ``shards`` of it.
+
+    A shard's rows meet in one task, which the limit bounds; copies over the limit are spread by number.
+    """
+    rows = _placed(hashed(docs, doc_id, text, limit, keep_text=True), limit)
+    named = rows.select("doc_id", "text", F.concat(F.lit(FOLDER), "shard").alias("shard"))
+    named.repartition("shard").write.partitionBy("shard").parquet(path)
+    return shards(docs.sparkSession, path, rows.schema["doc_id"].dataType.simpleString())
+
+
+def read_shards(spark: SparkSession, path: str, id_type: str = "bigint", shard: str | None = None) -> DataFrame:
+    """(doc_id, text, shard) from the files; with ``shard`` (a bit string) that folder alone is read."""
+    rows = spark.read.schema(f"doc_id {id_type}, text string, shard string").parquet(path)
+    rows = rows if shard is None else rows.where(F.col("shard") == FOLDER + shard)
+    return rows.withColumn("shard", F.substring("shard", len(FOLDER) + 1, BITS))
+
+
+def shards(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    """(shard, depth, n_rows, n_bytes) of the files, counted anew from what they hold."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    found = read_shards(spark, path, id_type).groupBy("shard").agg(F.count("*").alias("n_rows"), F.sum(size).alias("n_bytes"))
+    return found.select("shard", F.length("shard").alias("depth"), "n_rows", "n_bytes")
