@@ -2,6 +2,7 @@
 
 import gzip
 import os
+import random
 
 import pytest
 from pyspark.ml.classification import GBTClassificationModel
@@ -133,3 +134,34 @@ def test_rank_serve_keeps_users_without_features(spark):
     got = click_models.rank_serve(lists, users, items, model, 2).collect()
     assert sum(r["user_id"] == "u" for r in got) == 2
     assert sorted(r["item_id"] for r in got if r["user_id"] == "new") == ["i1", "i2"]
+
+
+def test_bucketed_pool_is_joined_where_it_lies(spark, tmp_path):
+    from tunecrate.operators import recall
+
+    r = random.Random(9)
+    pool = [(s, (s + k) % 50, round(1 / k + s / 1000, 6), k) for s in range(50) for k in range(1, 8)]
+    plays = [(u, r.randrange(60) if u % 3 else 7) for u in range(300) for _ in range(3)] + [(1, None), (None, 4)]
+    pool = spark.createDataFrame(pool, "src long, dst long, sim double, rank int")
+    plays = spark.createDataFrame(plays, "user_id long, item_id long")
+    stored = sinks.write_bucketed(pool, "bucketed_pool", "src", f"{tmp_path}/pool", "rank")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        expected = sorted(map(tuple, recall.pool_recall(plays, pool, 6, 9).collect()), key=repr)
+        for share in (1.0, 0.05):  # no hot item; item 7, with a third of the rows, is hot
+            found = recall.bucketed_pool_recall(plays, stored, 6, 9, share)
+            assert sorted(map(tuple, found.collect()), key=repr) == expected
+            plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+            joins = [i for i, x in enumerate(plan) if "SortMergeJoin" in x]
+            scan = next(i for i, x in enumerate(plan) if "FileScan" in x and i > joins[-1])
+            depth = lambda i: len(plan[i]) - len(plan[i].lstrip(" :+-"))
+            side, above = [], depth(scan)
+            for i in range(scan - 1, joins[-1], -1):
+                if depth(i) < above:
+                    side, above = [*side, plan[i]], depth(i)
+            assert side and not any("Exchange" in x for x in side) and "Bucketed: true" in plan[scan]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -101,16 +101,33 @@ def pool_recall(sources: DataFrame, pool: DataFrame, max_rank: int | None, keep:
     A target reached from several items takes several of the ``keep`` places.
     """
     near = pool if max_rank is None else pool.where(F.col("rank") < max_rank)
-    hits = (
-        sources.select(USER, F.col(ITEM).alias("src"))
-        .distinct()
-        .join(near, "src")
-        .select(USER, F.col("dst").alias(ITEM), "src", "sim")
-    )
+    return _best_hits(sources.select(USER, F.col(ITEM).alias("src")).distinct().join(near, "src"), keep)
+
+
+def _best_hits(near: DataFrame, keep: int) -> DataFrame:
+    hits = near.select(USER, F.col("dst").alias(ITEM), "src", "sim")
     best = top_n(hits, [USER], [F.desc("sim"), F.col(ITEM), F.col("src")], keep, "hit")
     return numbered(first_seen(best, "hit"), [USER], [F.col("hit")], POS).select(USER, ITEM, POS)
 
 
+def bucketed_pool_recall(
+    sources: DataFrame, pool: DataFrame, max_rank: int, keep: int, hot_share: float = 0.001
+) -> DataFrame:
+    """:func:`pool_recall` on a pool stored in buckets of ``src`` (``sinks.write_bucketed``), which is not shuffled.
+
+    Adaptive execution cannot split a bucket, so items with more than ``hot_share`` of the rows (at most
+    1 / ``hot_share``) are counted first; their neighbours, under ``max_rank`` each, are broadcast instead.
+    """
+    near = pool.where(F.col("rank") < max_rank)
+    wanted = cut_lineage(sources.select(USER, F.col(ITEM).alias("src")).distinct())
+    least = wanted.count() * hot_share
+    hot = [r["src"] for r in wanted.groupBy("src").count().where(F.col("count") > least).collect()]
+    split = F.coalesce(F.col("src").isin(hot), F.lit(False))
+    cold = wanted.where(~split).join(near, "src").select(USER, "dst", "src", "sim")
+    popular = wanted.where(split).join(F.broadcast(near.where(split)), "src").select(USER, "dst", "src", "sim")
+    return _best_hits(cold.unionByName(popular), keep)
+
+
 def pool_recall_shuffled(
     sources: DataFrame, pool: DataFrame, max_rank: int | None, best: int, keep: int, seed: int = 1
 ) -> DataFrame:
