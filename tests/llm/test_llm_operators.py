@@ -647,3 +647,55 @@ def test_long_documents_teach_the_line_crf(spark):
     assert min(s for i, s in scores.items() if i % 2) > 0.9 and max(s for i, s in scores.items() if i % 2 == 0) < 0.1
     short = line_crf.train(docs, labels, sample_docs=8, sample_lines=5)
     assert np.isfinite(short.weights).all() and short is not line_crf.UNKNOWN
+
+
+def test_quality_on_held_out_documents(spark):
+    """Held-out accuracy and order of the scores on the labels, which no score saw."""
+    from tunecrate.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    scored = QUERIES["op3_line_crf"](spark, folder).where("held_out").join(labels, "doc_id").where("quality IS NOT NULL")
+    found = [(r["score"], r["predicted"], int(r["quality"])) for r in scored.collect()]
+    good, bad = [s for s, _, q in found if q == 1], [s for s, _, q in found if q == 0]
+    auc = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / len(good) / len(bad)
+    right = sum(p == q for _, p, q in found) / len(found)
+    print(f"held out: {len(found)}, AUC {auc:.4f}, right {right:.4f}")
+    assert len(found) > 50 and auc > 0.98 and right > 0.95
+
+
+def brute_repeats(texts, words):
+    """Ids whose text holds ``words`` words in a row that an earlier id's text holds too."""
+    seen, found = {}, set()
+    for i, text in sorted(texts):
+        own = text.split()
+        windows = {" ".join(own[k : k + words]) for k in range(len(own) - words + 1)}
+        if any(w in seen for w in windows):
+            found.add(i)
+        for w in windows:
+            seen.setdefault(w, i)
+    return found
+
+
+def test_repeated_passages_against_all_windows(spark):
+    """Every passage of 60 words is found; nothing is reported that does not repeat word for word over 25 words."""
+    r = random.Random(15)
+    shared = [prose(60, 900 + k).split() for k in range(12)]
+    texts = []
+    for i in range(120):
+        own = prose(r.randint(40, 160), 2000 + i).split()
+        if r.random() < 0.6:
+            at = r.randrange(len(own))
+            own[at:at] = r.choice(shared)
+        texts.append((i, " ".join(own)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = substring_dedup.repeats(docs).collect()
+    by_id = {x["doc_id"] for x in found}
+    assert brute_repeats(texts, 60) <= by_id <= brute_repeats(texts, 25)
+    body = dict(texts)
+    for x in found:
+        span = body[x["doc_id"]].encode()[x["start"] : x["end"]].decode()
+        whole = span.split()[1:-1]  # cuts fall inside words
+        windows = [" ".join(whole[k : k + 20]) for k in range(len(whole) - 19)]
+        assert x["first_doc_id"] < x["doc_id"]
+        assert any(w in " ".join(t.split()) for i, t in texts[: x["doc_id"]] for w in windows)
