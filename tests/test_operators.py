@@ -303,6 +303,17 @@ def test_random_mix_rounds(spark):
     assert as_lists(lists.random_mix(base, extra)) == {"u": got}
 
 
+def test_random_mix_does_not_broadcast_its_rounds(spark):
+    base = frame(spark, [(u, i, i) for u in range(300) for i in range(1, 90)], "user_id int, item_id int, pos int")
+    extra = frame(spark, [(u, 100 + i, i) for u in range(300) for i in range(1, 4)], "user_id int, item_id int, pos int")
+    mixed = lists.random_mix(base, extra)
+    mixed.count()
+    plan = mixed._jdf.queryExecution().executedPlan()
+    mixed.collect()
+    joined = [line for line in plan.toString().splitlines() if "Join" in line and "pos" in line.split("Inner")[0]]
+    assert joined and not any("Broadcast" in line for line in joined)
+
+
 def test_format_and_explode(spark):
     base = lst(spark, {"u": ["c", "a", "b"]})
     text = lists.format_list(base)
