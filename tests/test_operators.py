@@ -198,6 +198,14 @@ def test_decayed_recall_is_the_fold(spark):
     assert {r["item_id"]: r["score"] for r in got} == {k: pytest.approx(x, abs=1e-8) for k, x in score.items()}
 
 
+def test_decayed_recall_weighs_rank_four_by_a_tenth(spark):
+    got = recall.decayed_recall(
+        frame(spark, [("u", "s", 4)], "user_id string, item_id string, rank int"), frame(spark, [("s", "d", 1e7)], "src string, dst string, score double"),
+        frame(spark, [("u", None), ("u", "x")], "user_id string, item_id string"),
+    )
+    assert got.first()["score"] == 1e6  # 1000000.0000000009 with 1 - 0.3 * 3
+
+
 def test_favourite_and_dislike_recall(spark):
     plays = frame(spark, [(1, 10, 9.0), (1, 11, 3.0), (1, 12, 0.2), (2, 10, 1.0)], "user_id int, item_id int, dur double")
     near = frame(spark, [(10, 20, 1), (10, 21, 2), (11, 20, 1), (11, 22, 2), (12, 23, 1)], "src int, dst int, nb_rank int")
