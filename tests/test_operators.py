@@ -228,6 +228,32 @@ def test_pool_recall_sorts_numbers(spark):
     assert as_lists(recall.pool_recall_filtered(src, pool, gone, 100, 80, 1)) == {1: [20]}
 
 
+def test_favourites_meet_as_lists(spark):
+    plays = frame(spark, [(u, i, 2.0 + i) for u in range(5) for i in range(40)], "user_id int, item_id int, dur double")
+    liked = rw.top_n(plays, ["user_id"], [F.desc("dur"), F.col("item_id")], 30, "fav_rank")
+    near = [(i, (i * 7 + j * j) % 500, j) for i in range(40) for j in range(1, 60)]
+    assert recall._expand(liked, frame(spark, near, "src int, dst int, nb_rank int")).count() == 5  # was a row per neighbour
+    want = list(dict.fromkeys(d for i in range(39, 9, -1) for s, d, _ in near if s == i))
+    assert as_lists(recall.favourite_recall(plays, frame(spark, near, "src int, dst int, nb_rank int"))) == {u: want for u in range(5)}
+
+
+@pytest.mark.parametrize("keep", [1, 7, 80, 5000])
+def test_pool_recall_hands_on_few_hits(spark, monkeypatch, keep):
+    rnd = random.Random(4)
+    plays = [(u, i) for u in range(4) for i in range(u * 20, u * 20 + 45)]
+    near = [(i, 1000 + rnd.randrange(300), rnd.choice([0.1, 0.2, 0.3, round(rnd.random(), 4)])) for i in range(120) for _ in range(60)]
+    near = sorted(set(near), key=lambda r: (r[0], -r[2], r[1]))
+    pool = frame(spark, [(*r, 1 + sum(x[0] == r[0] for x in near[:j])) for j, r in enumerate(near)], "src int, dst int, sim double, rank int")
+    handed, best = [], recall._best_hits
+    monkeypatch.setattr(recall, "_best_hits", lambda hits, n: (handed.append(hits.count()), best(hits, n))[1])
+    got = as_lists(recall.pool_recall(frame(spark, plays, "user_id int, item_id int"), pool, None, keep))
+    for u in range(4):
+        hits = sorted((-s, d, i) for i, d, s in near if (u, i) in plays)[:keep]
+        assert got[u] == list(dict.fromkeys(d for _, d, _ in hits))
+    if keep == 80:
+        assert handed[0] < 4 * 3 * keep  # of some 10,000
+
+
 def test_hot_explore(spark):
     hot = frame(spark, [(i,) for i in range(100)], "item_id int")
     users = frame(spark, [(u,) for u in range(20)], "user_id int")

@@ -70,6 +70,13 @@ def test_pool_counts_every_pair_of_a_long_playlist(spark, tmp_path):
     assert (top["dst"], top["sim"]) == (5, round(2 / math.sqrt(2 * 3), 9))
 
 
+def test_pool_reads_the_lines_few_times(spark):
+    from tunecrate.plans.views import View
+
+    plan = View(spark, SF_DIR).pool._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 3  # one scan and its copies for long playlists, was 6
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).columns == ["item_id", "channel", "score", "rank"]
 
