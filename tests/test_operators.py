@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -348,6 +349,22 @@ def test_random_mix_does_not_broadcast_its_rounds(spark):
     assert joined and not any("Broadcast" in line for line in joined)
 
 
+def test_cosine_blocks_are_large_and_cut_in_slices(monkeypatch):
+    assert nearest._blocks(120_000, nearest.BLOCK_ROWS, 3) <= 4  # was 30: each target travels so often
+    rnd = np.random.default_rng(2)
+    a, b = rnd.normal(size=(40, 4)), rnd.normal(size=(60, 4)).round(0) + 0.5
+    b[30:50] = b[0]  # copies: the smaller ids win
+    a, b = (x / np.linalg.norm(x, axis=1)[:, None] for x in (a, b))
+    b[59] = np.nan
+    as_frame = lambda x, **kw: pd.DataFrame({"id": np.arange(len(x)), "v": list(x), **kw})
+    monkeypatch.setattr(nearest, "CELLS", 300)
+    got = nearest.best_of_blocks(5, True)(as_frame(a), as_frame(b[::-1], part="x").assign(id=np.arange(60)[::-1]))
+    cos = np.round(a @ b.T, 9)
+    for i in range(40):
+        want = [j for j in sorted(range(59), key=lambda j: (-cos[i, j], j)) if j != i][:5]
+        assert list(got[got["a"] == i]["b"]) == want
+
+
 def test_format_and_explode(spark):
     base = lst(spark, {"u": ["c", "a", "b"]})
     text = lists.format_list(base)
