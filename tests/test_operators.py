@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tunecrate.functions import ids, measures, vectors
-from tunecrate.operators import boosting, cells, evaluation, factors, features, filters, lists, nearest, pair_similarity, recall, sessions, walk
+from tunecrate.operators import boosting, cells, embeddings, evaluation, factors, features, filters, lists, nearest, pair_similarity, recall, sessions, walk
 from tunecrate.operators import ranking_windows as rw
 
 
@@ -757,3 +757,29 @@ def test_cells_on_small_and_empty_sides(spark):
     assert cells.cosine_topn_cells(few, few, 10).count() == 6  # all others, though more were asked for
     none = frame(spark, [], schema)
     assert cells.cosine_topn_cells(none, few, 3).count() == cells.cosine_topn_cells(few, none, 3).count() == 0
+
+
+# --- embeddings ------------------------------------------------------------------------
+
+
+def test_item2vec_in_parts(spark):
+    """Words of one theme come out near each other from many small parts; nothing of the vocabulary reaches the driver."""
+    rng = random.Random(5)
+    rows = [(i, [f"{t}{rng.randrange(8)}" for _ in range(12)]) for i in range(900) for t in [rng.choice("abc")]] + [(900, ["rare", "a0"])]
+    seqs = frame(spark, rows, "playlist int, seq array<string>")
+    vecs = embeddings.item2vec(seqs, size=16, min_count=5, partitions=2, iterations=8, part_words=2000)
+    got = {r["id"]: np.array(r["features"]) for r in vecs.collect()}
+    assert set(got) == {f"{t}{i}" for t in "abc" for i in range(8)}  # not the rare word
+    again = {r["id"]: np.array(r["features"]) for r in embeddings.item2vec(seqs, 16, 5, 2, 8, part_words=2000).collect()}
+    assert all(np.array_equal(got[w], again[w]) for w in got)
+    unit = {w: v / np.linalg.norm(v) for w, v in got.items()}
+    for w in unit:
+        nearest_ = sorted((o for o in unit if o != w), key=lambda o: -unit[w] @ unit[o])[:7]
+        assert all(o[0] == w[0] for o in nearest_), (w, nearest_)
+
+
+def test_item2vec_of_words_without_context(spark):
+    seqs = frame(spark, [(i, ["alone"]) for i in range(5)] + [(9, []), (10, ["few"])], "playlist int, seq array<string>")
+    (row,) = embeddings.item2vec(seqs, size=4, min_count=5, partitions=3, iterations=2).collect()
+    assert row["id"] == "alone" and 0 < np.linalg.norm(row["features"]) < 1
+    assert embeddings.item2vec(seqs, size=4, min_count=50, partitions=3, iterations=1).count() == 0
