@@ -759,6 +759,13 @@ def test_cells_on_small_and_empty_sides(spark):
     assert cells.cosine_topn_cells(none, few, 3).count() == cells.cosine_topn_cells(few, none, 3).count() == 0
 
 
+def test_documents_travel_few_times():
+    """60 million vector entries, dealt to 12 tasks, were 86 GB on their way."""
+    entries = 60_000_000
+    copies = pair_similarity.n_blocks(entries, pair_similarity.BLOCK_TERMS, 12)
+    assert copies * entries * pair_similarity.ENTRY_BYTES < 15e9
+
+
 # --- embeddings ------------------------------------------------------------------------
 
 
