@@ -136,6 +136,36 @@ def test_rank_serve_keeps_users_without_features(spark):
     assert sorted(r["item_id"] for r in got if r["user_id"] == "new") == ["i1", "i2"]
 
 
+@pytest.mark.parametrize("kind", ["boosted", "forest", "serve", "split"])
+def test_samples_and_lists_are_made_once(spark, kind):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(df):
+        def each(batches):
+            for batch in batches:
+                made.add(len(batch))
+                yield batch
+
+        return df.mapInPandas(each, df.schema)
+
+    rows = [(float(i % 2), [float(i % 2), 1.0, float(i % 3)]) for i in range(60)]
+    samples = spark.createDataFrame(rows, "label double, features array<double>")
+    if kind in ("boosted", "forest"):
+        train = {"boosted": lambda s: click_models.gbdt_train(s, "3_2_0.1"), "forest": lambda s: click_models.rf_train(s, 3, 2)}[kind]
+        train(counted(samples))
+        assert made.value == 60
+        return
+    lists = spark.createDataFrame([(u, i) for u in range(10) for i in range(4)], "user_id long, item_id long")
+    users = spark.createDataFrame([(u, [1.0, 1.0]) for u in range(5)], "user_id long, features array<double>")
+    items = spark.createDataFrame([(i, [float(i % 3)]) for i in range(4)], "item_id long, features array<double>")
+    if kind == "serve":
+        got = click_models.rank_serve(counted(lists), users, items, click_models.gbdt_train(samples, "3_2_0.1"), 2).collect()
+    else:
+        scored, plain = click_models.rf_score_split(counted(lists), users, items, click_models.rf_train(samples, 3, 2))
+        got = scored.drop("prob").unionByName(plain).collect()
+    assert len(got) == (30 if kind == "serve" else 40) and made.value == 40
+
+
 def test_bucketed_pool_is_joined_where_it_lies(spark, tmp_path):
     from tunecrate.operators import recall
 

@@ -1,4 +1,8 @@
-"""Click models: boosted trees, random forests, scoring and serving."""
+"""Click models: boosted trees, random forests, scoring and serving.
+
+Trainers pass over their samples several times, and served lists are read once per kind of
+user; both are written once, so that what makes them runs once.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +19,7 @@ from tunecrate.functions import measures, vectors
 from tunecrate.operators.filters import split_by_key
 from tunecrate.operators.lists import ITEM, USER
 from tunecrate.operators.ranking_windows import top_n
+from tunecrate.session import cut_lineage
 
 
 def as_samples(df: DataFrame, features: str = "features") -> DataFrame:
@@ -29,7 +34,7 @@ def gbdt_train(samples: DataFrame, params: str, seed: int = 12345, subsample: fl
         maxIter=int(iterations), maxDepth=int(depth), stepSize=float(rate), maxBins=32,
         subsamplingRate=subsample, seed=seed,
     )
-    return trainer.fit(as_samples(samples))
+    return trainer.fit(as_samples(cut_lineage(samples)))
 
 
 def boosted_rounds(samples: DataFrame, rounds: int = 15, depth: int = 5, eta: float = 1.0, seed: int = 1) -> GBTClassificationModel:
@@ -60,7 +65,7 @@ def rank_serve(
 
     Users without features keep their whole list. lists: long form (user_id, item_id).
     """
-    with_user = lists.join(user_vectors.select(USER, F.col("features").alias("_u")), USER, "left")
+    with_user = cut_lineage(lists.select(USER, ITEM)).join(user_vectors.select(USER, F.col("features").alias("_u")), USER, "left")
     plain = with_user.where(F.col("_u").isNull()).select(USER, ITEM)
     pairs = (
         with_user.where(F.col("_u").isNotNull())
@@ -89,7 +94,7 @@ def rf_train(
     samples: DataFrame, trees: int = 100, depth: int = 10, impurity: str = "entropy", categories: int = 2, seed: int = 1
 ) -> PipelineModel:
     """Label index, feature index, forest. Depth is limited to 30 by Spark."""
-    return _forest_pipeline(trees, depth, impurity, categories, seed).fit(as_samples(samples))
+    return _forest_pipeline(trees, depth, impurity, categories, seed).fit(as_samples(cut_lineage(samples)))
 
 
 def rf_score(df: DataFrame, model: Model, keys: list[str]) -> DataFrame:
@@ -102,6 +107,7 @@ def rf_score_split(
     pairs: DataFrame, user_vectors: DataFrame, item_vectors: DataFrame, model: Model
 ) -> tuple[DataFrame, DataFrame]:
     """(scored pairs, pairs of users without a profile)."""
+    pairs = cut_lineage(pairs)
     users = user_vectors.select(USER, F.col("features").alias("_u"))
     scorable = (
         pairs.join(users, USER)
