@@ -576,6 +576,22 @@ def test_tag_cosine(spark, t):
     assert {(r["a"], r["b"]): r["cos"] for r in got.collect()} == brute_tags(sets, t)
 
 
+@pytest.mark.parametrize("longest", [0, 3, 64])
+def test_tag_cosine_of_short_and_long_sets(spark, monkeypatch, longest):
+    monkeypatch.setattr(pair_similarity, "SHORT_SET", longest)
+    rnd = random.Random(3)
+    sets = {d: {f"t{rnd.randrange(30)}" for _ in range(rnd.randrange(1, 12))} for d in range(70)}
+    tags = frame(spark, [(d, x) for d, s in sets.items() for x in s], "doc_id int, tag string")
+    got = pair_similarity.tag_cosine(tags, 0.3).collect()
+    assert {(r["a"], r["b"]): r["cos"] for r in got} == brute_tags(sets, 0.3) and len(got) == len(brute_tags(sets, 0.3))
+
+
+def test_short_sets_are_compared_where_they_meet(spark):
+    rows = [(d, (d * 7 + k * k) % 50) for d in range(200) for k in range(4)]
+    pairs = pair_similarity.tag_cosine(frame(spark, rows, "doc_id int, tag int"), 0.3)
+    assert "array_intersect" in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_copies_are_written_out_on_demand(spark):
     sets = {1: "abc", 2: "abc", 3: "abd", 4: "abd", 5: "xyz", 6: "xyz", 7: "q"}
     tags = frame(spark, [(d, x) for d, v in sets.items() for x in v], "doc_id int, tag string")
