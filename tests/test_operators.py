@@ -486,6 +486,45 @@ def test_walk_equals_matrix_power(spark, plan):
         assert mine == {x: pytest.approx(p[names.index(x)], abs=1e-8) for x in "abcd" if x != root}
 
 
+@pytest.mark.parametrize("rounds, most", [(12, 12), (90, 60)])
+def test_walk_of_separate_components_needs_no_tiles(spark, monkeypatch, rounds, most):
+    r = np.random.default_rng(3)
+    rows = sorted({(f"{c}u{u}", f"{c}i{i}") for c in range(4) for u, i in zip(r.integers(0, 5, 25), r.integers(0, 9, 25))})
+    rows = [(a, b, float(w)) for (a, b), w in zip(rows, r.integers(1, 9, len(rows)))]
+    rows += [(f"p{n}", f"p{n + 1}", 1.0) for n in range(20)]  # a path
+    both = rows + [(b, a, w) for a, b, w in rows]
+    names = sorted({x for a, b, _ in both for x in (a, b)})
+    m = np.zeros((len(names),) * 2)
+    for a, b, w in both:
+        m[names.index(b), names.index(a)] += w
+    m /= m.sum(axis=0)
+    mass = 0.15 * np.eye(len(names))
+    for _ in range(rounds - 1):
+        mass = 0.85 * m @ mass + 0.15 * np.eye(len(names))
+    items = [x for x in names if "i" in x or x[0] == "p"]
+
+    def no_tiles(*_):
+        raise AssertionError("every component is within the limits")
+
+    made = spark.sparkContext.accumulator(0)
+    times = walk._ByDegree.times
+    monkeypatch.setattr(walk, "_tiled_walk", no_tiles)
+    asked = frame(spark, [(x,) for x in items], "root string")
+    edges = frame(spark, both, "src string, dst string, w double")
+    got = walk.personal_walk(edges, asked, asked.toDF("item_id"), rounds=rounds, local_nodes=22, local_edges=60)
+    found = {(x["root"], x["item_id"]): x["score"] for x in got.collect()}
+    expected = {(a, b): mass[names.index(b), names.index(a)] for a in items for b in items if a != b}
+    assert found == {k: pytest.approx(p, abs=1e-9) for k, p in expected.items() if round(p, 9) > 0 or k in found}
+    # all steps of one component: the later ones follow from the last two
+    own = [n for n, x in enumerate(names) if x[0] == "0"]
+    part = m[np.ix_(own, own)]
+    u, v = np.nonzero(part.T)
+    order = np.lexsort((u, v))
+    monkeypatch.setattr(walk._ByDegree, "times", lambda self, state: made.add(1) or times(self, state))
+    state = walk._all_steps(u[order], v[order], 0.85 * part.T[u, v][order], np.arange(len(own)), len(own), 0.85, rounds, [])
+    assert np.abs(state - mass[np.ix_(own, own)]).max() < 1e-10 and made.value < most
+
+
 def test_walk_of_all_items_starts_from_each(spark, tmp_path):
     from tunecrate.plans.vector_queries import walk_all
     from tunecrate.plans.views import View
