@@ -429,6 +429,25 @@ def test_implicit_als_lowers_the_loss(spark):
     assert loss(5) < loss(1)
 
 
+def test_trainer_blocks_are_ranges_of_equal_ratings(spark):
+    r = np.random.default_rng(9)
+    # three groups that share nothing, their ids shifted; the later users have more ratings
+    rows = sorted({(1000 * g + int(u), 1000 * g + int(i)) for g in range(3) for u, i in zip(r.integers(0, 40, 300) ** 2 // 40, r.integers(0, 60, 300))})
+    ratings = frame(spark, [(u, i, 1.0) for u, i in rows], "user_id long, item_id long, rating double")
+    place = {}
+    for key in ("user_id", "item_id"):
+        ids = {x[key]: x["n"] for x in factors._block_ids(ratings, key, "n", 6, len(rows)).collect()}
+        assert len(set(ids.values())) == len(ids) == ratings.select(key).distinct().count() and min(ids.values()) >= 0
+        block = [ids[k] % 6 for k in sorted(ids)]
+        assert block == sorted(block)
+        place[key] = {k: n % 6 for k, n in ids.items()}
+        held = np.bincount([place[key][x[0 if key == "user_id" else 1]] for x in rows], minlength=6)
+        most = max(sum(1 for x in rows if x[0 if key == "user_id" else 1] == k) for k in ids)
+        assert held.max() <= len(rows) / 6 + most
+    sent = {(u, place["item_id"][i]) for u, i in rows}
+    assert len(sent) < 3.5 * len(place["user_id"])  # of six blocks; without locality nearly all
+
+
 @pytest.mark.parametrize("block", [20000, 9])
 def test_cf_recommend_equals_the_greedy_walk(spark, monkeypatch, block):
     monkeypatch.setattr(factors, "HOT_BLOCK", block)
