@@ -448,6 +448,37 @@ def test_trainer_blocks_are_ranges_of_equal_ratings(spark):
     assert len(sent) < 3.5 * len(place["user_id"])  # of six blocks; without locality nearly all
 
 
+@pytest.mark.parametrize("users_at_once", [2, 1024])
+def test_candidates_meet_item_factors_once_per_block(spark, monkeypatch, users_at_once):
+    monkeypatch.setattr(factors, "LISTED_USERS", users_at_once)
+    rnd = np.random.default_rng(8)
+    uf, itf = rnd.normal(size=(7, 3)), rnd.normal(size=(40, 3))
+    singer = [(i, f"s{i % 4}") for i in range(30)] + [(3, "s0"), (3, "other")]  # some have two singers, some none
+    cand = {u: [int(x) for x in rnd.choice(45, size=25)] for u in range(8)}  # repeated and unknown items, a user without a factor
+    gone = {u: {int(x) for x in rnd.choice(45, size=5)} for u in range(4)}
+    vec = lambda m: [(k, [float(x) for x in m[k]]) for k in range(len(m))]
+    pairs = lambda d: frame(spark, [(u, i) for u in d for i in d[u]], "user_id int, item_id int")
+    got = factors._candidate_lists(
+        frame(spark, vec(uf), "user_id int, factor array<double>"), pairs(cand), frame(spark, vec(itf), "item_id int, factor array<double>"),
+        pairs(gone), frame(spark, singer, "item_id int, singer string"), 12, 2, 6,
+    )
+    found = defaultdict(list)
+    for r in got.collect():
+        found[r["user_id"]].append((-r["score"], r["item_id"], r["singer"]))
+    want = {}
+    for u in range(7):
+        usable = {i for i in cand[u] if i < 40 and i not in gone.get(u, ())}
+        if len(usable) > 12:
+            rows, seen = [], defaultdict(int)
+            names = {i: [n for x, n in singer if x == i] or ["Unknown"] for i in usable}
+            for score, i, n in sorted((-round(float(itf[i] @ uf[u]), 9), i, n) for i in usable for n in names[i]):
+                if seen[n] < 2 and len(rows) < 6:
+                    seen[n] += 1
+                    rows.append((score, i, n))
+            want[u] = rows
+    assert want and {u: sorted(x) for u, x in found.items()} == want
+
+
 @pytest.mark.parametrize("block", [20000, 9])
 def test_cf_recommend_equals_the_greedy_walk(spark, monkeypatch, block):
     monkeypatch.setattr(factors, "HOT_BLOCK", block)
