@@ -315,6 +315,20 @@ def test_group_list_filter(spark):
     assert as_lists(got) == {"u": ["1", "4"]}
 
 
+def test_exclusions_travel_once_and_match_as_in_joins(spark):
+    named = "user_id string, item_id string"
+    base = spark.createDataFrame([("u", "1", 1), ("u", "2", 2), ("u", None, 3), ("v", "1", 1)], f"{named}, pos bigint")
+    gone = spark.createDataFrame([("u", "2"), ("u", "2"), ("u", None), (None, "1")], named)
+    ctr = spark.createDataFrame([("u", "9"), ("u", None)], named)
+    merged = lists.pool_merge([base], gone)
+    served = lists.group_list_filter(base, gone, gone, ctr)
+    for df in (merged, served):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("Exchange hashpartitioning(") == 1
+    assert sorted(map(tuple, merged.collect()), key=repr) == [("u", "1", 1), ("u", None, 2), ("v", "1", 1)]
+    assert sorted(map(tuple, served.collect()), key=repr) == [("u", "1", 1), ("u", None, 2)]
+
+
 def test_tail_replace(spark):
     base = lst(spark, {"u": ["1", "2", "3", "4"], "w": ["5", "6"]})
     picks = frame(spark, [("u", "8", 1), ("u", "9", 2), ("w", "5", 1)], "user_id string, item_id string, pick bigint")

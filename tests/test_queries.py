@@ -77,6 +77,33 @@ def test_pool_reads_the_lines_few_times(spark):
     assert plan.count("Relation [") <= 3  # one scan and its copies for long playlists, was 6
 
 
+def _small_part(spark, tmp_path, parts):
+    lines = [(o, i) for o, items in {1: (1, 2, 3, 4, 5), 2: (1, 2, 5), 3: (2, 6), 4: (1, 6)}.items() for i in items]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(parts, "p_partkey bigint, p_type string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+
+
+def test_attribute_pools_read_the_stored_pool_without_joins(spark, tmp_path):
+    from tunecrate.plans.views import View
+
+    _small_part(spark, tmp_path, [(i, "t", "b") for i in range(1, 7)])
+    plan = View(spark, str(tmp_path)).pool_same("p_type")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+
+
+def test_attribute_pools_follow_sql_with_repeated_and_missing_parts(spark, tmp_path):
+    from tunecrate.plans.views import View, with_views
+
+    _small_part(spark, tmp_path, [(1, "t", "a"), (1, "t", "b"), (2, "t", "b"), (2, "t", None), (3, "u", "b"), (4, None, "a"), (5, "t", "a"), (5, "t", "a")])
+    con = duckdb.connect()
+    for name in ("lineitem", "part"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    view = View(spark, str(tmp_path))
+    for frame, name in ((view.shared_pool, "pool"), (view.pool_same("p_type"), "pool_type"), (view.pool_same("p_brand"), "pool_brand")):
+        expected = con.execute(with_views([name], f"SELECT src, dst, sim, rank FROM {name}")).fetchall()
+        assert sorted(tuple(r) for r in frame.select("src", "dst", "sim", "rank").collect()) == sorted(expected), name
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).columns == ["item_id", "channel", "score", "rank"]
 

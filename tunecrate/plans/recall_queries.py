@@ -10,7 +10,7 @@ from tunecrate.operators import filters, lists, recall
 from tunecrate.operators.factors import idf_rating
 from tunecrate.operators.ranking_windows import top_n
 from tunecrate.plans.registry import query
-from tunecrate.plans.views import View, with_views
+from tunecrate.plans.views import HISTORY_END, RECS_END, View, with_views
 
 # --- shared SQL steps ------------------------------------------------------------------
 
@@ -299,7 +299,7 @@ def channel_recall(v: View) -> DataFrame:
     [("excluded", _EXCLUDED), _SPECIAL, _THEME, _SINGER]),
 )
 def pool_merge(v: View) -> DataFrame:
-    return lists.pool_merge([_special(v), _theme(v), _singer(v)], _excluded(v))
+    return lists.pool_merge([_special(v), _theme(v), _singer(v)], v.taken)
 
 
 @query(
@@ -338,7 +338,7 @@ def interleave(v: View) -> DataFrame:
     [_SPECIAL, _THEME, ("gone", "SELECT user_id, item_id FROM recs UNION SELECT user_id, item_id FROM history UNION SELECT user_id, item_id FROM theme")]),
 )
 def group_list_filter(v: View) -> DataFrame:
-    return lists.group_list_filter(_special(v), v.recs, v.history, _theme(v))
+    return lists.group_list_filter(_special(v), v.spans((HISTORY_END, RECS_END)), v.spans((None, HISTORY_END)), _theme(v))
 
 
 _HOT = (
