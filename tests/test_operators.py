@@ -1,5 +1,6 @@
 """Operators on small hand-made frames, against plain Python."""
 
+import math
 import random
 from collections import defaultdict
 
@@ -909,3 +910,16 @@ def test_item2vec_of_words_without_context(spark):
     (row,) = embeddings.item2vec(seqs, size=4, min_count=5, partitions=3, iterations=2).collect()
     assert row["id"] == "alone" and 0 < np.linalg.norm(row["features"]) < 1
     assert embeddings.item2vec(seqs, size=4, min_count=50, partitions=3, iterations=1).count() == 0
+
+
+def test_tfidf_cuts_texts_once_and_deals_no_occurrences(spark):
+    docs = spark.createDataFrame([(1, "the a b b"), (2, "a c"), (3, "a b")], "doc_id bigint, text string")
+    stop = spark.createDataFrame([("the",)], "term string")
+    kept = pair_similarity.remove_stop_words(pair_similarity.tokens(docs), stop)
+    assert "Exchange hashpartitioning(term" not in kept._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    weights = pair_similarity.tfidf(pair_similarity.term_counts(kept))
+    assert "regexp_extract_all" not in weights._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["doc_id"], r["term"]): (r["df"], round(r["weight"], 9)) for r in weights.collect()}
+    assert got == {
+        (1, "a"): (3, 0.0), (2, "a"): (3, 0.0), (3, "a"): (3, 0.0), (1, "b"): (2, round(math.log(1.5), 9)), (3, "b"): (2, round(math.log(1.5) / 2, 9)),
+    }
