@@ -731,6 +731,27 @@ def test_tfidf_cosine(spark, monkeypatch, t, work, block):
     assert got == want
 
 
+@pytest.mark.parametrize("rows, near", [(3, 500_000), (1024, 0)])
+def test_all_pairs_of_copies(spark, monkeypatch, rows, near):
+    monkeypatch.setattr(pair_similarity, "COPIES", rows)
+    monkeypatch.setattr(pair_similarity, "BROADCAST_COPIES", near)
+    kinds = ["abc", "abd", "xyz", "abce", "q"]
+    sets = {d: set(kinds[d * d % 7 % 5]) for d in range(40)}
+    tags = frame(spark, [(d, x) for d, v in sets.items() for x in v], "doc_id int, tag string")
+    cosines = {(a, b): len(sets[a] & sets[b]) / (len(sets[a]) * len(sets[b])) ** 0.5 for a in sets for b in sets if a < b}
+    got = pair_similarity.tag_cosine(tags, 0.5, whole=True).collect()
+    want = {p: pytest.approx(c) for p, c in cosines.items() if c > 0.5}
+    assert {(r["a"], r["b"]): r["cos"] for r in got} == want and len(got) == len(want)
+    texts = frame(spark, [(d, x) for d, v in sets.items() for x in v], "doc_id int, term string")
+    linked = pair_similarity.tfidf_cosine(texts, 0.1).collect()
+    first = {d: min(e for e in sets if sets[e] == sets[d]) for d in sets}
+    known = {(r["a"], r["b"]): r["cos"] for r in linked if first[r["a"]] != first[r["b"]]}
+    want = {(a, b): pytest.approx(1.0 if first[a] == first[b] else known[tuple(sorted((first[a], first[b])))])
+            for a, b in cosines if first[a] == first[b] or tuple(sorted((first[a], first[b]))) in known}
+    got = pair_similarity.tfidf_cosine(texts, 0.1, whole=True).collect()
+    assert {(r["a"], r["b"]): r["cos"] for r in got} == want and len(got) == len(want)
+
+
 def test_documents_and_stop_words(spark):
     rows = [("1", "n", ["a"]), ("2", "n", ["a", "b"]), ("3", "n", ["a", "b", "c"]), ("x", "n", ["a"]), ("-4", "n", ["a"])]
     docs = pair_similarity.build_documents(frame(spark, rows, "doc_id string, name string, blocks array<string>"))
