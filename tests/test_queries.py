@@ -104,6 +104,20 @@ def test_attribute_pools_follow_sql_with_repeated_and_missing_parts(spark, tmp_p
         assert sorted(tuple(r) for r in frame.select("src", "dst", "sim", "rank").collect()) == sorted(expected), name
 
 
+def test_neighbours_come_from_the_whole_training(spark, monkeypatch):
+    from tunecrate.operators import embeddings
+
+    asked = {}
+
+    def train(seqs, **params):
+        asked.update(params)
+        return spark.createDataFrame([("1", [1.0, 0.0]), ("2", [1.0, 1.0])], "id string, features array<double>")
+
+    monkeypatch.setattr(embeddings, "item2vec", train)
+    assert QUERIES["item2vec_neighbours"](spark, SF_DIR).count() == 2
+    assert (asked["size"], asked["partitions"], asked["iterations"]) == (200, 20, 10) and asked["min_count"] <= 200
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).columns == ["item_id", "channel", "score", "rank"]
 
