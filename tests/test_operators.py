@@ -752,6 +752,12 @@ def test_all_pairs_of_copies(spark, monkeypatch, rows, near):
     assert {(r["a"], r["b"]): r["cos"] for r in got} == want and len(got) == len(want)
 
 
+def test_blocks_of_texts_meet_without_a_shuffle(spark):
+    rows = [(d, f"w{(d * 7 + k * k) % 50}") for d in range(200) for k in range(4)]
+    plan = pair_similarity.tfidf_cosine(frame(spark, rows, "doc_id int, term string"), 0.3, 100)._jdf.queryExecution().sparkPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
 def test_documents_and_stop_words(spark):
     rows = [("1", "n", ["a"]), ("2", "n", ["a", "b"]), ("3", "n", ["a", "b", "c"]), ("x", "n", ["a"]), ("-4", "n", ["a"])]
     docs = pair_similarity.build_documents(frame(spark, rows, "doc_id string, name string, blocks array<string>"))
