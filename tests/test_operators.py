@@ -1,8 +1,10 @@
 """Operators on small hand-made frames, against plain Python."""
 
 import math
+import os
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -10,6 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tunecrate import session
 from tunecrate.functions import ids, measures, vectors
 from tunecrate.operators import boosting, cells, embeddings, evaluation, factors, features, filters, lists, nearest, pair_similarity, recall, sessions, walk
 from tunecrate.operators import ranking_windows as rw
@@ -752,6 +755,19 @@ def test_all_pairs_of_copies(spark, monkeypatch, rows, near):
     assert {(r["a"], r["b"]): r["cos"] for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("step", [session.cut_lineage, lambda df: session.written(df, "step")])
+def test_a_finished_step_leaves_no_shuffle_files(spark, step):
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    df, before = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), files()
+    kept = step(df)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and kept.agg(F.sum("count")).first()[0] == df.agg(F.sum("count")).first()[0] == 1000
+
+
 def test_blocks_of_texts_meet_without_a_shuffle(spark):
     rows = [(d, f"w{(d * 7 + k * k) % 50}") for d in range(200) for k in range(4)]
     plan = pair_similarity.tfidf_cosine(frame(spark, rows, "doc_id int, term string"), 0.3, 100)._jdf.queryExecution().sparkPlan().toString()
